@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import staged
+from .skew import unused
 
 #: Rows of a key that one chunk holds.
 CHUNK = 100_000
@@ -63,26 +64,30 @@ def number_rows(df: DataFrame, keys: list[str], order: list[Column], name: str =
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = [c for c in df.columns if c.lower() != name.lower() or c in keys]  # a column of that name is replaced
     by = [F.col(k) for k in keys]
-    ordered = df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
-    extra = pa.schema([("_pid", pa.int32()), ("_pos", pa.int64()), ("_place", pa.int64()), ("_first", pa.bool_())])
-    out = T.StructType([*df.schema.fields, T.StructField("_pid", T.IntegerType()), T.StructField("_pos", T.LongType()), T.StructField("_place", T.LongType()), T.StructField("_first", T.BooleanType())])
-    rows = staged(ordered.mapInArrow(_runs(keys, df.columns, extra), out))
+    ordered = df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order).select(*kept)
+    pid, pos, place, first = (unused(x, df) for x in ("_pid", "_pos", "_place", "_first"))
+    extra = pa.schema([(pid, pa.int32()), (pos, pa.int64()), (place, pa.int64()), (first, pa.bool_())])
+    out = T.StructType([*ordered.schema.fields, T.StructField(pid, T.IntegerType()), T.StructField(pos, T.LongType()), T.StructField(place, T.LongType()), T.StructField(first, T.BooleanType())])
+    rows = staged(ordered.mapInArrow(_runs(keys, kept, extra), out))
     key = F.struct(*by)
     ends = (
-        rows.groupBy("_pid")
-        .agg(F.min_by(key, "_pos").alias("head"), F.max_by(key, "_pos").alias("tail"), F.max_by(F.col("_place") + 1, "_pos").alias("tail_n"), F.max_by("_first", "_pos").alias("whole"))
-        .orderBy("_pid")
+        rows.groupBy(F.col(pid).alias("p"))
+        .agg(F.min_by(key, pos).alias("head"), F.max_by(key, pos).alias("tail"), F.max_by(F.col(place) + 1, pos).alias("tail_n"), F.max_by(first, pos).alias("whole"))
+        .orderBy("p")
         .collect()
     )
     offsets, tail, carried = [], None, 0
     for e in ends:
-        start = carried if e["head"] == tail else 0
-        offsets.append((e["_pid"], start))
+        start = carried if tail is not None and e["head"] == tail else 0
+        offsets.append((e["p"], start))
         carried = e["tail_n"] + (start if e["whole"] else 0)
         tail = e["tail"]
-    offsets = spark.createDataFrame(offsets or [(-1, 0)], "_pid int, _offset long")
-    return rows.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_place") + 1 + F.when(F.col("_first"), F.col("_offset")).otherwise(F.lit(0))).select(*df.columns, name)
+    offset = unused("_offset", rows)
+    offsets = spark.createDataFrame(offsets or [(-1, 0)], f"`{pid}` int, `{offset}` long")
+    numbered = rows.join(F.broadcast(offsets), pid)
+    return numbered.select(*kept, (F.col(place) + 1 + F.when(F.col(first), F.col(offset)).otherwise(F.lit(0))).alias(name))
 
 
 def chunked(df: DataFrame, keys: list[str], order: list[Column], chunk_rows: int = CHUNK) -> DataFrame:

@@ -8,7 +8,7 @@ group does in a regular expression, so each rule below becomes ``(?>first|second
     quoted  <- '"' ('""' / [^"])* '"' &end   /   the same with '
     known   <- one of the known values, longest first, &end      (these may hold separators)
     bare    <- a run without separators
-    stray   <- a quote that opens nothing                        (backtracking: the rest is then read as bare)
+    stray   <- quote+ (known / bare)?                            (backtracking: the quote closes nowhere)
     end     <- space* (separator / ']' / end of text)            (a blank alone if blanks separate)
 """
 
@@ -38,44 +38,39 @@ class ListGrammar:
     def pattern(self) -> str:
         sep = self._cls()
         end = rf"(?=\s|[{sep}\]]|$)" if self.blanks else rf"(?=\s*(?:[{sep}\]]|$))"
-        rules = [rf'"(?>[^"]|"")*+"{end}', rf"'(?>[^']|'')*+'{end}"]
+        rules = [rf'"[^"]*+(?:""[^"]*+)*+"{end}', rf"'[^']*+(?:''[^']*+)*+'{end}"]
         # an apostrophe inside a word ('Healer's') may stand before the closing quote
         rules.append(rf"'[^{sep}\[\]]*?'{end}")
-        if self.known:
-            rules.append("(?>" + "|".join(re.escape(v).replace("\\ ", " ") for v in sorted(self.known, key=lambda v: (-len(v), v))) + ")" + end)
-        rules.append(rf"[^\s{sep}\[\]\"']" + (rf"[^\s{sep}\[\]]*+" if self.blanks else rf"[^{sep}\[\]]*+"))
-        rules.append("[\"']")
+        known = "(?>" + "|".join(re.escape(v).replace("\\ ", " ") for v in sorted(self.known, key=lambda v: (-len(v), v))) + ")" + end if self.known else None
+        bare = rf"[^\s{sep}\[\]\"']" + (rf"[^\s{sep}\[\]]*+" if self.blanks else rf"[^{sep}\[\]]*+")
+        own = [known, bare] if known else [bare]
+        rules += [*own, "[\"']++(?>" + "|".join(own) + ")?+"]
         return "(?>" + "|".join(rules) + ")"
 
 
-def _unquoted(token: Column) -> Column:
-    q = F.substring(token, 1, 1)
-    inside = token.substr(F.lit(2), F.length(token) - 2)
-    closed = (F.length(token) >= 2) & q.isin('"', "'") & (F.substring(token, -1, 1) == q)
-    return F.when(closed, F.replace(inside, F.concat(q, q), q)).when(q.isin('"', "'"), F.lit("")).otherwise(token)
-
-
 def parse_list(c: Column, g: ListGrammar) -> Column:
     """Array of (pos, val, how, error) of the values in ``c``; empty pieces are left out and not counted.
 
-    Null and empty text give an empty array. how: quoted, bracketed or bare. error: ``stray_quote`` if a quote that opens or closes
-    nothing stands in the text, ``unknown_value`` if known values are given and this is none, else null.
+    Null and empty text give an empty array. how: quoted, bracketed or bare. error: ``stray_quote`` for a value that has a quote at one end
+    only, ``unknown_value`` if known values are given and this is none, else null. A stray opening quote is no part of the value.
     """
     tokens = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(g.pattern()), F.lit(0))
     bracketed = F.ltrim(F.coalesce(c, F.lit(""))).startswith("[")
     known = F.array(*[F.lit(v) for v in g.known]) if g.known else None
 
     def one(t: Column) -> Column:
-        val = F.regexp_replace(_unquoted(t), r"^[\s ]+|[\s ]+$", "")
-        quoted = F.substring(t, 1, 1).isin('"', "'")
-        return F.struct(val.alias("val"), F.when(bracketed, "bracketed").when(quoted, "quoted").otherwise("bare").alias("how"), (quoted & (F.length(t) == 1)).alias("stray"))
+        q = F.substring(t, 1, 1)
+        opens = q.isin('"', "'")
+        closed = opens & (F.length(t) >= 2) & (F.substring(t, -1, 1) == q)
+        inside = F.replace(t.substr(F.lit(2), F.length(t) - 2), F.concat(q, q), q)
+        text = F.when(closed, inside).when(opens, F.regexp_replace(t, "^[\"']+", "")).otherwise(t)
+        stray = (opens & ~closed) | (~opens & F.substring(F.rtrim(t), -1, 1).isin('"', "'"))
+        return F.struct(F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "").alias("val"), F.when(bracketed, "bracketed").when(closed, "quoted").otherwise("bare").alias("how"), stray.alias("stray"))
 
-    values = F.transform(tokens, one)
-    stray = F.exists(values, lambda v: v["stray"])
-    kept = F.filter(values, lambda v: v["val"] != "")
+    kept = F.filter(F.transform(tokens, one), lambda v: v["val"] != "")
 
     def flagged(v: Column, i: Column) -> Column:
-        error = F.when(stray, "stray_quote")
+        error = F.when(v["stray"], "stray_quote")
         if known is not None:
             error = error.when(~F.array_contains(known, v["val"]), "unknown_value")
         return F.struct((i + 1).alias("pos"), v["val"].alias("val"), v["how"].alias("how"), error.alias("error"))

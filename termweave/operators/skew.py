@@ -11,6 +11,14 @@ HOT = 256
 LEAST = 20_000
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores added until no frame has such a column (names are compared without case, as Spark does)."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def key_hash(cols: list[str]) -> Column:
     return F.xxhash64(*[F.col(c) for c in cols])
 
@@ -35,7 +43,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], unique: str, h
     if not hot:
         return left.join(right, on, how)
     salts = salts or max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    is_hot = key_hash(on).isin(hot)
-    a = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(unique), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
-    b = right.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-    return a.join(b, [*on, "_salt"], how).drop("_salt")
+    is_hot, salt = key_hash(on).isin(hot), unused("_salt", left, right)
+    a = left.withColumn(salt, F.when(is_hot, F.pmod(F.xxhash64(unique), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+    b = right.withColumn(salt, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return a.join(b, [*on, salt], how).drop(salt)
