@@ -47,17 +47,17 @@ def _ids(dictionary: DataFrame, number: int, fields: int) -> DataFrame:
 
 def encode(df: DataFrame, row_id: str, fields: list[Field]) -> DataFrame:
     """``row_id`` and ``tuple`` (sorted integers) of every record, staged."""
-    out = df.select(row_id, *[F.col(f.column) for f in fields])
+    out = df.select(F.col(row_id).alias("_row"), *[F.col(f.column).alias(f"_f{i}") for i, f in enumerate(fields)])
     for i, f in enumerate(fields):
+        c = f"_f{i}"
         d = _dictionary(df, f)
-        ids = _ids(d, i, len(fields))
+        ids = _ids(d, i, len(fields)).select(F.col("raw").alias(c), F.col("id").alias(f"_id{i}"))
         if d.count() <= SMALL:
-            out = out.join(F.broadcast(ids.withColumnRenamed("raw", f.column)), f.column, "left")
+            out = out.join(F.broadcast(ids), c, "left")
         else:
-            hot = hot_keys(d.withColumnRenamed("raw", f.column), [f.column], weight="n")
-            out = salted_join(out, ids.withColumnRenamed("raw", f.column), [f.column], row_id, hot, "left")
-        out = out.drop(f.column).withColumnRenamed("id", f"_id{i}")
-    return staged(out.select(row_id, F.array_sort(F.array_compact(F.array(*[F.col(f"_id{i}") for i in range(len(fields))]))).alias("tuple")))
+            out = salted_join(out, ids, [c], "_row", hot_keys(d.select(F.col("raw").alias(c), "n"), [c], weight="n"), "left")
+        out = out.drop(c)
+    return staged(out.select(F.col("_row").alias(row_id), F.array_sort(F.array_compact(F.array(*[F.col(f"_id{i}") for i in range(len(fields))]))).alias("tuple")))
 
 
 def groups(encoded: DataFrame, row_id: str) -> DataFrame:

@@ -97,20 +97,20 @@ def pack(sizes: DataFrame, row_id: str, size: str, capacity: int = CAPACITY) ->
     need no room: they come out with container null and piece 1. Containers are numbered from 0.
     """
     spark = sizes.sparkSession
-    rows = staged(sizes.select(row_id, F.coalesce(F.col(size), F.lit(0)).cast("long").alias("_n")))
+    rows = staged(sizes.select(F.col(row_id).alias("_row"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("_n")))
     full, rest = F.expr(f"_n div {capacity}"), F.col("_n") % capacity
     pieces = rows.withColumn("_full", full).withColumn("_rest", rest)
     histogram = {r["_rest"]: r["n"] for r in pieces.filter("_rest > 0").groupBy("_rest").agg(F.count(F.lit(1)).alias("n")).collect()}  # < capacity rows
     runs, number = plan(histogram, capacity)
     slots = spark.createDataFrame([(r.size, r.start, r.start + r.each * r.bins - 1, r.each, r.first) for r in runs] or [(-1, 0, 0, 1, 0)], "_rest long, _start long, _end long, _each long, _first long")
-    ranked = number_rows(pieces.filter("_rest > 0").select(row_id, "_n", "_full", "_rest"), ["_rest"], [F.col(row_id)], "_rank")
+    ranked = number_rows(pieces.filter("_rest > 0").select("_row", "_n", "_full", "_rest"), ["_rest"], [F.col("_row")], "_rank")
     # at most as many slot runs as the plan has steps, bounded by the capacity: safe to broadcast
     placed = ranked.join(F.broadcast(slots), "_rest").filter((F.col("_rank") >= F.col("_start")) & (F.col("_rank") <= F.col("_end")))
     rests = placed.select(
-        F.expr("_first + (_rank - _start) div _each").alias("container"), row_id, (F.col("_full") + 1).alias("piece"), (F.col("_full") * capacity).alias("from_unit"), F.col("_n").alias("to_unit"), F.col("_rest").alias("n_units")
+        F.expr("_first + (_rank - _start) div _each").alias("container"), F.col("_row").alias(row_id), (F.col("_full") + 1).alias("piece"), (F.col("_full") * capacity).alias("from_unit"), F.col("_n").alias("to_unit"), F.col("_rest").alias("n_units")
     )
     # containers that one piece fills: numbered after the planned ones, by exact prefix sums over the divided items
-    long = number_rows(pieces.filter("_full > 0").select(row_id, "_full", F.explode(F.expr("sequence(1L, _full)")).alias("piece")).withColumn("_all", F.lit(0)), ["_all"], [F.col(row_id), F.col("piece")], "_k")
-    fulls = long.select((F.col("_k") - 1 + number).alias("container"), row_id, "piece", ((F.col("piece") - 1) * capacity).alias("from_unit"), (F.col("piece") * capacity).alias("to_unit"), F.lit(capacity).cast("long").alias("n_units"))
-    none = rows.filter("_n <= 0").select(F.lit(None).cast("long").alias("container"), row_id, F.lit(1).cast("long").alias("piece"), F.lit(0).cast("long").alias("from_unit"), F.lit(0).cast("long").alias("to_unit"), F.lit(0).cast("long").alias("n_units"))
+    long = number_rows(pieces.filter("_full > 0").select("_row", "_full", F.explode(F.expr("sequence(1L, _full)")).alias("piece")).withColumn("_all", F.lit(0)), ["_all"], [F.col("_row"), F.col("piece")], "_k")
+    fulls = long.select((F.col("_k") - 1 + number).alias("container"), F.col("_row").alias(row_id), "piece", ((F.col("piece") - 1) * capacity).alias("from_unit"), (F.col("piece") * capacity).alias("to_unit"), F.lit(capacity).cast("long").alias("n_units"))
+    none = rows.filter("_n <= 0").select(F.lit(None).cast("long").alias("container"), F.col("_row").alias(row_id), F.lit(1).cast("long").alias("piece"), F.lit(0).cast("long").alias("from_unit"), F.lit(0).cast("long").alias("to_unit"), F.lit(0).cast("long").alias("n_units"))
     return rests.unionByName(fulls).unionByName(none)

@@ -28,13 +28,17 @@ def big_groups(df: DataFrame, group: str, share: int = SHARE) -> DataFrame:
 
 def top_n(df: DataFrame, group: str, score: str, ties: list[str], n: int = 3, share: int = SHARE) -> DataFrame:
     """``group``, ``rnk`` 1..n and the tie columns of the n best rows of every group."""
-    rows = df.select(group, score, *ties)
-    order = [F.col(score).desc_nulls_last(), *[F.col(t).asc() for t in ties]]
-    # Smaller is better in every part of this key, so bounds can be compared as structs. A null score gets its own first part.
-    worst_first = F.struct(F.col(score).isNull().alias("a"), (-F.col(score).cast("double")).alias("b"), *[F.col(t).alias(f"t{i}") for i, t in enumerate(ties)])
-    big = F.broadcast(big_groups(df, group, share)).withColumnRenamed(group, "_g")
-    local = rows.join(big, F.col(group).eqNullSafe(F.col("_g"))).drop("_g").withColumn("_pid", F.spark_partition_id())
-    nth = local.withColumn("_r", F.row_number().over(Window.partitionBy("_pid", group).orderBy(*order))).filter(F.col("_r") <= n)
-    bounds = nth.filter(F.col("_r") == n).groupBy(F.col(group).alias("_g")).agg(F.min(worst_first).alias("_bound"))
-    kept = rows.join(F.broadcast(bounds), F.col(group).eqNullSafe(F.col("_g")), "left").filter(F.col("_bound").isNull() | (worst_first <= F.col("_bound")))
-    return kept.withColumn("rnk", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("rnk") <= n).select(group, "rnk", *ties)
+    t = [f"_t{i}" for i in range(len(ties))]
+    rows = df.select(F.col(group).alias("_g"), F.col(score).alias("_s"), *[F.col(c).alias(x) for c, x in zip(ties, t)])
+    order = [F.col("_s").desc_nulls_last(), *[F.col(x).asc() for x in t]]
+    tie = F.struct(*t)
+    big = F.broadcast(big_groups(rows, "_g", share).withColumnRenamed("_g", "_b"))
+    local = rows.join(big, F.col("_g").eqNullSafe(F.col("_b"))).drop("_b").withColumn("_pid", F.spark_partition_id())
+    nth = local.withColumn("_r", F.row_number().over(Window.partitionBy("_pid", "_g").orderBy(*order))).filter(F.col("_r") <= n)
+    nth = nth.filter(F.col("_r") == n).withColumn("_k", F.row_number().over(Window.partitionBy("_g").orderBy(*order)))  # one row per partition and big group
+    bounds = nth.filter(F.col("_k") == 1).select(F.col("_g").alias("_b"), F.col("_s").alias("_bs"), tie.alias("_bt"))
+    level = F.col("_s").eqNullSafe(F.col("_bs")) & (tie <= F.col("_bt"))
+    better = F.col("_s").isNotNull() & (F.col("_bs").isNull() | (F.col("_s") > F.col("_bs")))
+    kept = rows.join(F.broadcast(bounds), F.col("_g").eqNullSafe(F.col("_b")), "left").filter(F.col("_bt").isNull() | better | level)
+    ranked = kept.withColumn("rnk", F.row_number().over(Window.partitionBy("_g").orderBy(*order))).filter(F.col("rnk") <= n)
+    return ranked.select(F.col("_g").alias(group), "rnk", *[F.col(x).alias(c) for c, x in zip(ties, t)])
