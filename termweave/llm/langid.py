@@ -32,10 +32,11 @@ SAMPLE_DOCS, SAMPLE_CHARS, LEAST_DOCS = 200, 20_000, 3
 GAP = 0.05
 SEED = 7
 
-#: Tags, bracketed codes and quoted words say nothing about the language of a sentence.
-_ASIDE = re.compile(r"<[^<>\n]{0,200}>|\[[^\[\]\n]{0,100}\]|“[^“”\n]*”|„[^„“\n]*“|«[^«»\n]*»|\"[^\"\n]{0,300}\"")
+#: Tags, bracketed codes and quoted words say nothing about the language of a sentence, and don't end one.
+_QUOTED = r"“[^“”\n]*”|„[^„“\n]*“|«[^«»\n]*»|\"[^\"\n]{0,300}\""
+_ASIDE = re.compile(rf"<[^<>\n]{{0,200}}>|\[[^\[\]\n]{{0,100}}\]|{_QUOTED}")
 #: A sentence ends at . ! ? before white space, a tag, a closing mark or the end, after 。！？ anywhere, and at an empty line.
-_END = re.compile(r"[.!?…]+[)\]”\"'»]*(?=\s|<|$)|[。！？]+[”」』）]*|\n\s*\n")
+_END = re.compile(rf"(?P<aside>{_ASIDE.pattern})|[.!?…]+[)\]”\"'»]*(?=\s|<|$)|[。！？]+[”」』）]*|\n\s*\n")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -43,6 +44,8 @@ def sentences(text: str) -> list[tuple[int, int]]:
     """(start, end) of the sentences; together they hold every character that isn't between two of them as white space."""
     out, at = [], 0
     for m in _END.finditer(text):
+        if m["aside"] and not (m[0][-2] in ".!?…。！？" and m[0][-1] not in ">]" and (m.end() == len(text) or text[m.end()].isspace())):
+            continue
         if text[at : m.end()].strip():
             out.append((at, m.end()))
             at = m.end()
