@@ -471,6 +471,23 @@ def redirect_replace(spark, d):
     return lookup.redirects(_refs(spark, d), "cui", _moved(spark, d), "cui1", "cui2", "line_no", "line_no")
 
 
+@query(
+    "SELECT l_orderkey, l_linenumber, CASE WHEN p.b IS NULL THEN l.k ELSE p.b END AS k, CASE WHEN p.b IS NULL THEN 'nonredir' ELSE 'redir' END AS info FROM (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS k FROM lineitem) l "
+    "LEFT JOIN (SELECT CAST(p_partkey AS VARCHAR) AS a, min_by(p_brand, p_partkey) AS b FROM part GROUP BY 1) p ON l.k = p.a"
+)
+def redirect_replace_large(spark, d):
+    """Redirects over the largest table: the lookup whose rate is compared."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("k"))
+    moved = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("a"), F.col("p_brand").alias("b"), F.col("p_partkey").alias("n"))
+    return lookup.redirects(rows, "k", moved, "a", "b", "n", "l_orderkey")
+
+
+@query("SELECT l_orderkey, l_linenumber, p_brand AS k FROM lineitem JOIN part ON l_partkey = p_partkey")
+def lookup_replace_large(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("k"))
+    return lookup.replace_column(rows, "k", table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("a"), F.col("p_brand").alias("b")), "a", "b", "l_orderkey")
+
+
 @query(f"SELECT line_no, label, cui, 'nonredir' AS info FROM labelfreq UNION ALL SELECT f.line_no, f.label, m.cui2, 'redir' FROM labelfreq f JOIN {_FIRST} m ON f.cui = m.cui1")
 def redirect_add(spark, d):
     return lookup.redirects(_refs(spark, d), "cui", _moved(spark, d), "cui1", "cui2", "line_no", "line_no", add=True)
