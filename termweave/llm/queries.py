@@ -101,6 +101,12 @@ def p6_suspects(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def p6_evidence(spark: SparkSession, d: str) -> DataFrame:
+    """Each cut row, and whether its length is a field limit of its source (``limit``) or not (``transfer``)."""
+    at = p6_suspects(spark, d).withColumn("hit", F.lit(True))
+    return p6_found(spark, d).join(at, ["tab", "line_no"], "left").select("tab", "line_no", F.when(F.col("hit"), "limit").otherwise("transfer").alias("evidence"))
+
+
 # Problem 7 -------------------------------------------------------------------------------------------------------------------------
 
 
@@ -171,7 +177,7 @@ _JSON_SQL = r"SELECT 'labelinfo_json' AS tab, line_no, writer AS source FROM lab
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    fs = (p2_found, p2_atoms, p2_labels, p6_found, p6_rates, p6_length_spikes, p6_suspects, p7_found, p8_contents, p8_fill, p9_selection, p9_shares, p10_found, p10_segments, p10_documents)
+    fs = (p2_found, p2_atoms, p2_labels, p6_found, p6_rates, p6_length_spikes, p6_suspects, p6_evidence, p7_found, p8_contents, p8_fill, p9_selection, p9_shares, p10_found, p10_segments, p10_documents)
     return {f.__name__: f for f in fs}
 
 

@@ -21,26 +21,31 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean_key, core
 from ..session import staged
 
-# What ends a sentence or an item.
-TERMINAL = ".!?。！？…)]}\"'”»"
+# What ends a sentence or an item, and what stands for a cut.
+TERMINAL = ".!?。！？)]}\"'”»"
+ELLIPSES = r"(\.\.|…)\s*$"
 #: A spike holds at least so many values, and so many times the mean of the WINDOW lengths below it.
 LEAST, TIMES, WINDOW = 20, 5.0, 10
 #: A limit in bytes cuts before a character that doesn't fit, so lengths up to 3 below the largest belong to it.
 SLACK = 3
 
 
+def open_end(v: Column) -> Column:
+    """No terminal punctuation, or an ellipsis."""
+    return ~F.substring(F.rtrim(v), -1, 1).isin(*TERMINAL) | v.rlike(ELLIPSES)
+
+
 def length_histogram(df: DataFrame, source: str, column: str) -> DataFrame:
     """source, unit (chars, bytes), len, n, n_open (without terminal punctuation). Null values are left out, a null source is a source."""
     v = F.col(column)
-    open_end = ~F.substring(F.rtrim(v), -1, 1).isin(*TERMINAL)
-    base = df.filter(v.isNotNull()).select(F.col(source).alias("source"), F.length(v).alias("chars"), F.octet_length(v).alias("bytes"), open_end.cast("int").alias("o"))
+    base = df.filter(v.isNotNull()).select(F.col(source).alias("source"), F.length(v).alias("chars"), F.octet_length(v).alias("bytes"), open_end(v).cast("int").alias("o"))
     both = base.groupBy("source", "chars", "bytes").agg(F.count(F.lit(1)).alias("n"), F.sum("o").alias("n_open"))
     long = both.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("len")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("len")))).alias("u"), "n", "n_open")
     return long.groupBy("source", "u.unit", "u.len").agg(F.sum("n").alias("n"), F.sum("n_open").alias("n_open"))
@@ -67,7 +72,7 @@ def suspects(df: DataFrame, source: str, column: str, keep: list[str]) -> DataFr
     """
     spikes = length_spikes(length_histogram(df, source, column)).select(F.col("source").alias("_s"), F.col("unit").alias("_u"), F.col("len").alias("_l"))
     v = F.col(column)
-    rows = df.filter(v.isNotNull() & ~F.substring(F.rtrim(v), -1, 1).isin(*TERMINAL))
+    rows = df.filter(v.isNotNull() & open_end(v))
     two = F.array(F.struct(F.lit("chars").alias("_u"), F.length(v).alias("_l")), F.struct(F.lit("bytes").alias("_u"), F.octet_length(v).alias("_l")))
     j = rows.select(*keep, F.col(source).alias("_src"), F.explode(two).alias("_k")).join(F.broadcast(spikes), F.col("_src").eqNullSafe(F.col("_s")) & (F.col("_k._u") == F.col("_u")) & (F.col("_k._l") == F.col("_l")))
     return j.select(*keep).distinct()
