@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import hot_keys, salted_join
+
 # Fixed values of the scoring rules.
 START, PREFERRED_BONUS, DIGIT_COST = 10, 20, 3
 SHORT, SHORT_STEP, LONG, LONG_STEP, CUT = 8, 3, 12, 13, 100
@@ -61,6 +63,6 @@ def preferred(atoms: DataFrame) -> DataFrame:
     return one.groupBy("cui").agg(F.min(F.struct((-F.col("s")).alias("s"), "n", "pref")).alias("b")).select("cui", F.col("b.pref").alias("pref"))
 
 
-def with_group_max(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """``name``: the largest ``value`` of each row's group (what a correlated update does)."""
-    return df.withColumn(name, F.max(value).over(Window.partitionBy(*keys)))
+def with_group_max(df: DataFrame, keys: list[str], value: str, name: str, unique: str) -> DataFrame:
+    """``name``: the largest ``value`` of each row's group (what a correlated update does). Combined before the shuffle, joined back with salt."""
+    return salted_join(df, df.groupBy(*keys).agg(F.max(value).alias(name)), keys, unique, hot_keys(df, keys), "left")

@@ -522,6 +522,86 @@ def import_first(spark, d):
     return sinks.import_rows(rows, {"line_no": 0, "cui": 1, "label": 2}, ["cui"], "n")[0].select("line_no", "cui", "label")
 
 
+# Sources and sinks ------------------------------------------------------------------------------------------------------------------
+
+
+def _place(spark) -> str:
+    return f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
+
+
+_MRCONSO = "cui lat ts lui stt sui ispref aui saui scui sdui sab tty code str srl suppress cvf".split()
+
+
+@query("SELECT " + ", ".join(c if c in ("srl", "cvf") else f"nullif({c}, '') AS {c}" for c in _MRCONSO) + " FROM mrconso")
+def rrf_scan(spark, d):
+    """Atoms written as a release file and read back."""
+    at = _place(spark)
+    table(spark, d, "mrconso").select(F.concat(*[F.concat(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("|")) for c in _MRCONSO]).alias("value")).write.text(at)
+    return readers.read_rrf(spark, at, "MRCONSO")
+
+
+@query("SELECT CAST(line_no AS VARCHAR) AS a, coalesce(label, '') AS b, coalesce(CAST(cnt AS VARCHAR), '') AS c FROM labelfreq")
+def tsv_gz_scan(spark, d):
+    """Tab-separated lines written with gzip and read back as fields."""
+    at = _place(spark)
+    sinks.write_tsv(table(spark, d, "labelfreq").select("line_no", F.replace("label", F.lit("\t"), F.lit(" ")).alias("label"), "cnt"), at, gz=True)
+    return readers.read_fields(spark, at).select(*[F.get("f", F.lit(i)).alias(c) for i, c in enumerate("abc")])
+
+
+_SQL["tsv_gz_scan"] = _SQL["tsv_gz_scan"].replace("coalesce(label, '')", "replace(coalesce(label, ''), chr(9), ' ')")
+
+
+@query("SELECT 'KCX' AS styclass, sty FROM semtypes WHERE tui <= 'T441' UNION ALL SELECT 'BMH', sty FROM semtypes")
+def semantic_group_list(spark, d):
+    """The group list as text, with headers and comments, parsed."""
+    lines = ["# groups"]
+    for g in ("KCX", "BMH"):
+        own = groups(spark, d).filter(F.col("styclass") == g).orderBy("sty").collect()  # a fixed table
+        lines += [f"{g}:", *[f"'{r['sty']}'" for r in own], "", "# end"]
+    return readers.semantic_groups(spark.createDataFrame(list(enumerate(lines)), "line_no long, value string"))
+
+
+@query("SELECT 'http://x/' || line_no AS subj, 'http://x/label' AS pred, replace(label, chr(9), ' ') AS obj, 'en' AS lang, '' AS datatype FROM labelinfo WHERE label IS NOT NULL UNION ALL SELECT 'http://x/' || line_no, 'http://x/freq', CAST(crislabelcuifreq AS VARCHAR), '', 'http://www.w3.org/2001/XMLSchema#integer' FROM labelinfo WHERE crislabelcuifreq IS NOT NULL")
+def ntriples_scan(spark, d):
+    """Label info as N-Triples lines, parsed."""
+    li = table(spark, d, "labelinfo")
+    quoted = F.replace(F.replace(F.replace("label", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\t"), F.lit("\\t"))
+    head = lambda p: F.concat(F.lit("<http://x/"), F.col("line_no").cast("string"), F.lit(f"> <http://x/{p}> "))
+    a = li.filter("label is not null").select(F.concat(head("label"), F.lit('"'), quoted, F.lit('"@en .')).alias("value"))
+    b = li.filter("crislabelcuifreq is not null").select(F.concat(head("freq"), F.lit('"'), F.col("crislabelcuifreq").cast("string"), F.lit('"^^<http://www.w3.org/2001/XMLSchema#integer> .')).alias("value"))
+    return readers.triples(a.unionByName(b)).drop("_corrupt")
+
+
+@query("SELECT label, lang, crislabelcuifreq AS n FROM labelinfo CROSS JOIN (VALUES ('de'), ('en')) v(lang)")
+def per_language_copies(spark, d):
+    at = _place(spark)
+    sinks.write_per_language(table(spark, d, "labelinfo").select("label", F.col("crislabelcuifreq").alias("n")), at, ["de", "en"])
+    return spark.read.parquet(at).select("label", "lang", "n")
+
+
+@query("SELECT line_no, cui, score, max(score) OVER (PARTITION BY cui) AS best FROM preferredlabels WHERE cui IS NOT NULL")
+def group_max(spark, d):
+    return labels.with_group_max(table(spark, d, "preferredlabels").filter("cui is not null").select("line_no", "cui", "score"), ["cui"], "score", "best", "line_no")
+
+
+@query()
+def uri_canonical(spark, d):
+    """References moved to the end of their chain of redirects; concepts that have no canonical form are left empty."""
+    moved = lookup.closed_redirects(_moved(spark, d).select(F.col("cui1").alias("from_uri"), F.col("cui2").alias("to_uri")))
+    gone = table(spark, d, "mrcui").filter("rel = 'DEL'").select(F.col("cui1").alias("from_uri"))
+    return uris.canonical(_refs(spark, d), "cui", redirects=moved, disambiguations=gone)
+
+
+@query()
+def ontology_mapping(spark, d):
+    """The size tree as an ontology: every size is a class below its half; brands are equivalent names."""
+    name = lambda c: F.concat(F.lit("dbpo:"), F.col(c).cast("string"))
+    part = table(spark, d, "part")
+    sub = part.filter("p_size > 1").select(name("p_size").alias("a"), F.concat(F.lit("dbpo:"), F.expr("p_size div 2").cast("string")).alias("b")).distinct()
+    same = part.select(F.col("p_brand").alias("a"), name("p_size").alias("b")).groupBy("a").agg(F.min("b").alias("b"))
+    return classes.ontology_mapping(sub, same, interesting=("dbpo:2", "dbpo:3"))
+
+
 # Folds -----------------------------------------------------------------------------------------------------------------------------
 
 
