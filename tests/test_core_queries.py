@@ -1,0 +1,24 @@
+"""Every registered query of the core on the smallest data: it runs, and gives the rows of its SQL."""
+
+import pytest
+
+import __spark_entry__ as entry
+from termweave.plans import problem_queries, resource_queries
+
+MODULES = [resource_queries, problem_queries]
+QUERIES = {k: f for m in MODULES for k, f in m.queries().items()}
+SQL = {k: s for m in MODULES for k, s in m.oracle_sql().items()}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(same_as_sql, name):
+    same_as_sql(QUERIES[name], SQL.get(name))
+
+
+def test_every_sql_has_a_query():
+    assert set(SQL) <= set(QUERIES)
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
+    assert set(QUERIES) <= set(entry.queries())
