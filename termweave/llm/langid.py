@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 BITS = 24
 SIZE = 1 << 15
 SAMPLE_DOCS, SAMPLE_CHARS, LEAST_DOCS = 200, 20_000, 3
-#: Loss gap (per bit) under which a sentence is ambiguous.
-GAP = 0.05
+#: A sentence whose best language has less confidence is ambiguous; it may go with a neighbour whose language has at least POSSIBLE.
+SURE, POSSIBLE = 0.9, 0.05
+#: Lengths to which held-out sentences are cut to find the temperature of the confidence: on whole ones there are hardly any errors to learn from.
+FRAGMENTS = (6, 10, 16, 28)
 SEED = 7
 
 #: Tags, bracketed codes and quoted words say nothing about the language of a sentence, and don't end one.
@@ -86,6 +88,12 @@ class Model:
     code: np.ndarray  # languages x BITS, +1 or -1
     weights: np.ndarray  # (SIZE + 1) x BITS
     trust: np.ndarray  # BITS, sums to BITS
+    sharp: float = 1.0  # inverse temperature
+
+    def chances(self, losses: np.ndarray) -> np.ndarray:
+        """Softmax of the losses; rows sum to 1."""
+        e = np.exp(-(losses - losses.min(axis=1, keepdims=True)) * self.sharp)
+        return e / e.sum(axis=1, keepdims=True)
 
     def losses(self, texts: list[str]) -> np.ndarray:
         """texts x languages: weighted mean logistic loss per bit."""
@@ -146,6 +154,13 @@ def _fit(texts: list[str], langs: list[str], labels: list[str]) -> Model:
         odds = np.clip(right / len(texts_), 0.5, 0.999)
         trust = np.log(odds / (1 - odds)) + 1e-3
         model.trust = (trust * BITS / trust.sum()).astype(np.float32)
+        cut = [(f" {t[k : k + n].strip()} ", y) for t, y in held[:4000] for n in FRAGMENTS for k in (len(t) // 3,) if t[k : k + n].strip()]
+        losses, right = model.losses([t for t, _ in cut]), [index[y] for _, y in cut]
+        scored = []
+        for sharp in 2.0 ** np.arange(-2, 6):
+            model.sharp = float(sharp)
+            scored.append((-np.log(np.maximum(model.chances(losses)[np.arange(len(cut)), right], 1e-12)).mean(), float(sharp)))
+        model.sharp = min(scored)[1] if cut else 1.0
     return model
 
 
@@ -208,42 +223,35 @@ def _label(model: Model, texts: list[str]) -> list[list[tuple[int, int, int, str
             spans.append((a, b))
             folds.append(folded(t[a:b]))
             owner.append(i)
-    losses = np.full((len(folds), len(model.langs)), np.inf)
+    chances = np.zeros((len(folds), len(model.langs)))
     lettered = [j for j, f in enumerate(folds) if f]
     if lettered and model.langs:
-        losses[lettered] = model.losses([folds[j] for j in lettered])
+        chances[lettered] = model.chances(model.losses([folds[j] for j in lettered]))
     out: list[list] = [[] for _ in texts]
     start = 0
     for i in range(len(texts)):
         stop = start
         while stop < len(owner) and owner[stop] == i:
             stop += 1
-        out[i] = _segments(model, spans[start:stop], losses[start:stop])
+        out[i] = _segments(model, spans[start:stop], chances[start:stop])
         start = stop
     return out
 
 
-def _segments(model: Model, spans: list[tuple[int, int]], losses: np.ndarray) -> list[tuple[int, int, int, str, float, int]]:
-    sure: list[int | None] = []
-    doubt = []
-    for row in losses:
-        if not np.isfinite(row).any():
-            sure.append(None)
-            doubt.append(False)
-            continue
-        order = np.argsort(row)
-        close = len(order) > 1 and row[order[1]] - row[order[0]] < GAP
-        sure.append(int(order[0]))
-        doubt.append(bool(close))
-    # an ambiguous sentence goes with the sentence before it, or else the one after, if that language is nearly as near
-    said = list(sure)
-    n = len(said)
+def _segments(model: Model, spans: list[tuple[int, int]], chances: np.ndarray) -> list[tuple[int, int, int, str, float, int]]:
+    """``chances`` has a row per sentence, zeros where there is no letter."""
+    n = len(spans)
+    best = chances.argmax(axis=1) if n and chances.shape[1] else np.full(n, -1)
+    top = chances.max(axis=1) if n and chances.shape[1] else np.zeros(n)
+    said = [int(b) if p > 0 else None for b, p in zip(best, top)]
+    doubt = [bool(0 < p < SURE) for p in top]
+    firm = list(said)
     for j in range(n):
-        if sure[j] is None or doubt[j]:
+        if firm[j] is None or doubt[j]:  # goes with the sentence before, or else the one after
             for k in (*range(j - 1, -1, -1), *range(j + 1, n)):
-                if sure[k] is not None and not doubt[k]:
-                    if sure[j] is None or losses[j][sure[k]] - losses[j][sure[j]] < GAP:
-                        said[j] = sure[k]
+                if firm[k] is not None and not doubt[k]:
+                    if firm[j] is None or chances[j][firm[k]] >= POSSIBLE:
+                        said[j] = firm[k]
                     break
     out: list[list] = []
     for j, (a, b) in enumerate(spans):
@@ -251,16 +259,12 @@ def _segments(model: Model, spans: list[tuple[int, int]], losses: np.ndarray) ->
             if out:
                 out[-1][1] = b
             continue
-        row = losses[j]
-        p = 1.0
-        if np.isfinite(row).any():
-            e = np.exp(-(row - row.min()) * BITS)
-            p = float(e[said[j]] / e.sum())
-        if out and out[-1][3] == model.langs[said[j]]:
+        p, lang = float(chances[j][said[j]]) if top[j] > 0 else 1.0, model.langs[said[j]]
+        if out and out[-1][3] == lang:
             s = out[-1]
             s[1], s[2], s[4], s[5] = b, s[2] + 1, s[4] + p, s[5] + doubt[j]
         else:
-            out.append([a, b, 1, model.langs[said[j]], p, int(doubt[j])])
+            out.append([a, b, 1, lang, p, int(doubt[j])])
     return [(a, b, m, x, p / m, d) for a, b, m, x, p, d in out]
 
 
