@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
 from .graph import closure
 
 THING = "owl:Thing"
@@ -78,9 +79,9 @@ def ontology_mapping(subclass: DataFrame, equivalent: DataFrame, prefix: str = "
     own = names.select("c", F.col("c").alias("e")).unionByName(eq.select(F.col("a").alias("c"), F.col("b").alias("e")))
     order = F.create_map(*[F.lit(x) for kv in ((c, i) for i, c in enumerate(interesting)) for x in kv])
     picked = own.groupBy("c").agg(F.min_by("e", F.when(F.col("e") != F.col("c"), F.try_element_at(order, F.col("e")))).alias("best"), F.max(F.when(F.col("e") != F.col("c"), F.try_element_at(order, F.col("e")))).alias("has"), F.min(F.when(F.col("e").startswith(prefix), F.col("e"))).alias("least"))
-    canon = picked.select("c", F.when(F.col("has").isNotNull(), F.col("best")).otherwise(F.col("least")).alias("u")).filter(F.col("u").isNotNull())
+    canon = staged(picked.select("c", F.when(F.col("has").isNotNull(), F.col("best")).otherwise(F.col("least")).alias("u")).filter(F.col("u").isNotNull()))
     up = closure(subclass.select("a", "b"), "a", "b").filter("a <> b")
-    above = up.join(canon.select(F.col("c").alias("b"), F.col("u").alias("bu")), "b").select(F.col("a").alias("c"), "bu")
+    above = staged(up.join(canon.select(F.col("c").alias("b"), F.col("u").alias("bu")), "b").select(F.col("a").alias("c"), "bu").distinct())
     mine = canon.select("c", F.col("u").alias("bu")).unionByName(above)
     first = mine.select("c", F.try_element_at(order, F.col("bu")).alias("k")).groupBy("c").agg(F.min("k").alias("k"))
     back = F.create_map(*[F.lit(x) for kv in enumerate(interesting) for x in kv])

@@ -6,7 +6,6 @@ the group KCX holds the types up to T441, BMH all of them; frequencies and ranks
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as fl
 from ..functions import uris
 from ..operators import candidates, classes, concepts, freq, graph, labels, lookup, rowops
-from ..session import shared_dir, staged, table
+from ..session import shared_path, staged, table
 from ..sources import readers, sinks
 from ..streaming import keyed
 from . import pipelines, script
@@ -526,7 +525,7 @@ def import_first(spark, d):
 
 
 def _place(spark) -> str:
-    return f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
+    return shared_path(spark, "files")
 
 
 _MRCONSO = "cui lat ts lui stt sui ispref aui saui scui sdui sab tty code str srl suppress cvf".split()
@@ -627,7 +626,7 @@ def specific_class_fold(spark, d):
 def stream_mention_counts(spark, d):
     src = table(spark, d, "labelfreq")
     rows = spark.readStream.schema(src.schema).parquet(f"{d}/labelfreq.parquet*").select(F.col("label").alias("mention"), F.col("cui").alias("anchor"))
-    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    at = shared_path(spark, "stream")
     return keyed.drained(keyed.running_mention_counts(rows), f"{at}/out", f"{at}/state", ["mention"])
 
 
@@ -635,5 +634,5 @@ def stream_mention_counts(spark, d):
 def stream_label_uri_merge(spark, d):
     src = table(spark, d, "labelfreq")
     rows = spark.readStream.schema(src.schema).parquet(f"{d}/labelfreq.parquet*").withColumn("none", F.lit(""))
-    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    at = shared_path(spark, "stream")
     return keyed.drained(keyed.running_merge(rows, "label", "cui", ["corpus", "umlsversion", "none"], "line_no"), f"{at}/out", f"{at}/state", ["label", "uri"])

@@ -22,21 +22,29 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='termweave-')}"
         sc.setCheckpointDir(found)
         _made.append((spark, found))
     return found.rstrip("/")
 
 
+def shared_path(spark: SparkSession, kind: str = "table") -> str:
+    """A new path in the shared folder; what is written there goes when the program ends."""
+    path = f"{shared_dir(spark)}/termweave-{kind}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Cuts the lineage: later jobs read files that outlive any executor. The files go when the program ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/termweave-{uuid.uuid4().hex}"
+    path = shared_path(spark)
     df.write.parquet(path)
-    _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 

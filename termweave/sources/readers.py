@@ -52,17 +52,18 @@ def languages(spark: SparkSession) -> DataFrame:
 def semantic_groups(lines: DataFrame, line_no: str = "line_no", value: str = "value") -> DataFrame:
     """(styclass, sty) from a group list: ``AAA:`` starts a class, ``'name'`` is a member, ``#`` a comment.
 
-    The class of a member is the last header above it. Headers are few, so each member finds its header by the range the header opens:
-    headers are numbered among themselves and joined by range; members are never sorted in one task.
+    The class of a member is the last header above it. Headers are few (a list has as many as groups; more than 10,000 are refused), so
+    they become literals and each member looks its header up by its line number: no sort, no join.
     """
     v = F.col(value)
-    heads = lines.filter(v.rlike(r"^\w+:\s*$")).select(F.col(line_no).alias("a"), F.regexp_extract(v, r"^(\w+):", 1).alias("styclass"))
-    # a group list has as many headers as there are groups: a handful
-    found = heads.orderBy("a").limit(10_000).collect()
-    ranges = [(h["a"], n["a"] if n else None, h["styclass"]) for h, n in zip(found, [*found[1:], None])]
-    r = lines.sparkSession.createDataFrame(ranges or [(-1, -1, "")], "a long, b long, styclass string")
+    heads = lines.filter(v.rlike(r"^\w+:\s*$")).select(F.col(line_no).alias("a"), F.regexp_extract(v, r"^(\w+):", 1).alias("g")).orderBy("a").limit(10_001).collect()
+    if len(heads) > 10_000:
+        raise ValueError("more than 10,000 headers: this is no group list")
+    at = F.array(*[F.lit(h["a"]) for h in heads]).cast("array<long>")
+    names = F.array(*[F.lit(h["g"]) for h in heads]).cast("array<string>")
     members = lines.filter(v.rlike(r"^'.*'\s*$")).select(F.col(line_no).alias("n"), F.regexp_extract(v, r"^'(.*)'\s*$", 1).alias("sty"))
-    return members.join(F.broadcast(r), (F.col("n") > F.col("a")) & (F.col("b").isNull() | (F.col("n") < F.col("b")))).select("styclass", "sty")
+    above = F.size(F.filter(at, lambda a: a < F.col("n")))
+    return members.filter(above > 0).select(F.element_at(names, above).alias("styclass"), "sty")
 
 
 _SELECT = re.compile(r"\s*select .+ from .+", re.I)

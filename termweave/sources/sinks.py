@@ -26,16 +26,21 @@ def write_per_language(df: DataFrame, path: str, languages: list[str]) -> None:
     write_table(df.withColumn("lang", F.explode(F.array(*[F.lit(x) for x in languages]))), path, ["lang"])
 
 
+def _keep(df: DataFrame, keys: list[str], pick) -> DataFrame:
+    others = [c for c in df.columns if c not in keys]
+    # the keys stay grouping columns, so a join on them needs no further shuffle
+    g = df.groupBy(*keys).agg(pick(F.struct(*others)).alias("_r"))
+    return g.select(*[F.col(c) if c in keys else F.col("_r")[c].alias(c) for c in df.columns])
+
+
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row with the smallest ``order`` of each key, which is what inserting row by row under a primary key leaves."""
-    others = F.struct(*[c for c in df.columns])
-    return df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min_by(others, order).alias("_r")).select("_r.*")
+    return _keep(df, keys, lambda row: F.min_by(row, order))
 
 
 def keep_last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row with the largest ``order`` of each key, which is what updating row by row leaves."""
-    others = F.struct(*[c for c in df.columns])
-    return df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max_by(others, order).alias("_r")).select("_r.*")
+    return _keep(df, keys, lambda row: F.max_by(row, order))
 
 
 def import_rows(fields: DataFrame, columns: dict[str, int], keys: list[str], order: str, last_wins: bool = False) -> tuple[DataFrame, DataFrame]:
