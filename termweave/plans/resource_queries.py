@@ -82,7 +82,7 @@ _SCORED = (
     "+ CASE WHEN upper(p[1:1]) = p[1:1] AND NOT upper(p[2:3]) = p[2:3] THEN 1 ELSE 0 END AS INTEGER) AS score FROM "
     f"(SELECT cui, ispref, str, substring(str, 1, 100) AS p, CAST(count(sab) AS INTEGER) AS vocabcount, coalesce(string_agg(sab, ',' ORDER BY sab), '') AS vocabs FROM {_ATOMS} GROUP BY cui, ispref, str))"
 )
-_BEST = f"(SELECT cui, preflabel, score, ispref, vocabcount, vocabs, maxscore, minlen FROM (SELECT *, min(length(preflabel)) OVER (PARTITION BY cui) AS minlen FROM (SELECT *, max(score) OVER (PARTITION BY cui) AS maxscore FROM {_SCORED}) WHERE score = maxscore) WHERE length(preflabel) = minlen)"
+_BEST = f"(SELECT cui, preflabel, score, ispref, vocabcount, vocabs, maxscore, minlen FROM (SELECT *, CAST(min(length(preflabel)) OVER (PARTITION BY cui) AS INTEGER) AS minlen FROM (SELECT *, max(score) OVER (PARTITION BY cui) AS maxscore FROM {_SCORED}) WHERE score = maxscore) WHERE length(preflabel) = minlen)"
 _PREF = f"(SELECT cui, min(preflabel) AS pref FROM {_BEST} GROUP BY cui)"
 _INFO = (
     "(SELECT t.cui, string_agg(DISTINCT t.tui, ',' ORDER BY t.tui) AS tuis, string_agg(DISTINCT t.sty, ',' ORDER BY t.sty) AS stys, min(p.pref) AS pref, string_agg(DISTINCT a.sab, ',' ORDER BY a.sab) AS vocabs, "

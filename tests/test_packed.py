@@ -41,3 +41,22 @@ def test_unpack(spark, rows):
     df = spark.createDataFrame([(1, "T1;T12", None, "x"), (2, None, "T1", "y")], "line_no long, a string, b string, val string")
     assert rows(unpack(df, {"a": CODES, "b": CODES}, ["line_no"]).select("line_no", "fld", "pos", "val")) == [(1, "a", 1, "T1"), (1, "a", 2, "T12"), (2, "b", 1, "T1")]
     assert unpack(df.limit(0), {"a": CODES}, ["line_no"]).count() == 0
+
+
+def test_types_and_their_codes_agree(spark):
+    """In the data the n-th type name and the n-th type code of a row are one type, however either list is written."""
+    import os
+
+    import pytest
+
+    from termweave.plans import problem_queries
+
+    d = "/root/testdata/sf0.01"
+    if not os.path.isdir(d):
+        pytest.skip("no data")
+    v = problem_queries.packed_values(spark, d)
+    names, codes = v.filter("fld = 'stys'").select("line_no", "pos", F.col("val").alias("sty")), v.filter("fld = 'tuis'").select("line_no", "pos", F.col("val").alias("tui"))
+    both = names.join(codes, ["line_no", "pos"])
+    known = spark.read.parquet(f"{d}/semtypes.parquet")
+    assert both.count() > 3000 and both.join(known, ["sty", "tui"], "left_anti").count() == 0
+    assert v.filter("error is not null").count() == 0
