@@ -40,6 +40,8 @@ _ASIDE = re.compile(rf"<[^<>\n]{{0,200}}>|\[[^\[\]\n]{{0,100}}\]|{_QUOTED}")
 #: A sentence ends at . ! ? before white space, a tag, a closing mark or the end, after 。！？ anywhere, and at an empty line.
 _END = re.compile(rf"(?P<aside>{_ASIDE.pattern})|[.!?…]+[)\]”\"'»]*(?=\s|<|$)|[。！？]+[”」』）]*|\n\s*\n")
 _LETTERS = re.compile(r"[^\W\d_]+")
+#: Combining diacritical marks.
+_MARKS = re.compile("[\u0300-\u036f]+")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -58,7 +60,9 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 def folded(text: str) -> str:
     """Lower case, no diacritics, runs of letters parted by one blank, a blank at both ends; '' if there is no letter."""
-    plain = "".join(c for c in unicodedata.normalize("NFKD", _ASIDE.sub(" ", text).lower()) if not unicodedata.combining(c))
+    plain = _ASIDE.sub(" ", text).lower()
+    if not plain.isascii():
+        plain = _MARKS.sub("", unicodedata.normalize("NFKD", plain))
     found = _LETTERS.findall(plain)
     return f" {' '.join(found)} " if found else ""
 
