@@ -48,11 +48,12 @@ def _ids(dictionary: DataFrame, number: int, fields: int) -> DataFrame:
 def encode(df: DataFrame, row_id: str, fields: list[Field]) -> DataFrame:
     """``row_id`` and ``tuple`` (sorted integers) of every record, staged."""
     out = df.select(F.col(row_id).alias("_row"), *[F.col(f.column).alias(f"_f{i}") for i, f in enumerate(fields)])
-    for i, f in enumerate(fields):
+    sized = [(d.count(), i, d) for i, d in enumerate(_dictionary(df, f) for f in fields)]
+    # broadcast ones first, then the field with most values: later shuffles carry its integer, not its text
+    for n, i, d in sorted(sized, key=lambda x: (x[0] > SMALL, -x[0], x[1])):
         c = f"_f{i}"
-        d = _dictionary(df, f)
         ids = _ids(d, i, len(fields)).select(F.col("raw").alias(c), F.col("id").alias(f"_id{i}"))
-        if d.count() <= SMALL:
+        if n <= SMALL:
             out = out.join(F.broadcast(ids), c, "left")
         else:
             out = salted_join(out, ids, [c], "_row", hot_keys(d.select(F.col("raw").alias(c), "n"), [c], weight="n"), "left")
