@@ -32,9 +32,10 @@ def merge_label_info(rows: DataFrame, keys: list[str], values: list[str], order:
 
 
 def class_maps(properties: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(canonical, interesting, super), each (cls, to), from (property, orig, mapped) rows."""
-    part = lambda p: properties.filter(F.col("property") == p).select(F.col("orig").alias("cls"), F.col("mapped").alias("to"))
-    return part("yodie:hasCanonicalUri"), part("yodie:hasInterestingClass"), part("yodie:hasSuperClass")
+    """(canonical, interesting, super), each (cls, to), from (property, orig, mapped) rows. A property is known by its local name, whatever its prefix."""
+    local = F.substring_index("property", ":", -1)
+    part = lambda p: properties.filter(local == p).select(F.col("orig").alias("cls"), F.col("mapped").alias("to"))
+    return part("hasCanonicalUri"), part("hasInterestingClass"), part("hasSuperClass")
 
 
 def specific_classes(rows: DataFrame, canonical: DataFrame, interesting: DataFrame, supers: DataFrame, uri: str = "uri", cls: str = "cls", order: str = "line_no") -> DataFrame:
@@ -85,7 +86,7 @@ def ontology_mapping(subclass: DataFrame, equivalent: DataFrame, prefix: str = "
     mine = canon.select("c", F.col("u").alias("bu")).unionByName(above)
     first = mine.select("c", F.try_element_at(order, F.col("bu")).alias("k")).groupBy("c").agg(F.min("k").alias("k"))
     back = F.create_map(*[F.lit(x) for kv in enumerate(interesting) for x in kv])
-    inter = canon.join(first, "c").select(F.lit("yodie:hasInterestingClass").alias("property"), F.col("u").alias("orig"), F.coalesce(F.try_element_at(back, F.col("k")), F.lit(THING)).alias("mapped"))
-    sup = canon.join(above, "c").filter("u <> bu").select(F.lit("yodie:hasSuperClass").alias("property"), F.col("u").alias("orig"), F.col("bu").alias("mapped"))
-    thing = canon.select(F.lit("yodie:hasSuperClass").alias("property"), F.col("u").alias("orig"), F.lit(THING).alias("mapped"))
-    return canon.select(F.lit("yodie:hasCanonicalUri").alias("property"), F.col("c").alias("orig"), F.col("u").alias("mapped")).unionByName(inter).unionByName(sup).unionByName(thing).distinct()
+    inter = canon.join(first, "c").select(F.lit("map:hasInterestingClass").alias("property"), F.col("u").alias("orig"), F.coalesce(F.try_element_at(back, F.col("k")), F.lit(THING)).alias("mapped"))
+    sup = canon.join(above, "c").filter("u <> bu").select(F.lit("map:hasSuperClass").alias("property"), F.col("u").alias("orig"), F.col("bu").alias("mapped"))
+    thing = canon.select(F.lit("map:hasSuperClass").alias("property"), F.col("u").alias("orig"), F.lit(THING).alias("mapped"))
+    return canon.select(F.lit("map:hasCanonicalUri").alias("property"), F.col("c").alias("orig"), F.col("u").alias("mapped")).unionByName(inter).unionByName(sup).unionByName(thing).distinct()

@@ -255,7 +255,7 @@ def test_ontology_mapping(spark):
     sub = spark.createDataFrame([("dbpo:Athlete", "dbpo:Person"), ("x:Runner", "dbpo:Athlete"), ("dbpo:Person", "owl:Agent"), ("x:Lone", "y:Other")], "a string, b string")
     eq = spark.createDataFrame([("x:Runner", "dbpo:Runner"), ("foaf:Person", "dbpo:Person")], "a string, b string")
     got = {tuple(r) for r in classes.ontology_mapping(sub, eq).collect()}
-    assert {("yodie:hasCanonicalUri", "foaf:Person", "dbpo:Person"), ("yodie:hasCanonicalUri", "x:Runner", "dbpo:Runner"), ("yodie:hasInterestingClass", "dbpo:Runner", "dbpo:Person"), ("yodie:hasSuperClass", "dbpo:Runner", "dbpo:Athlete"), ("yodie:hasSuperClass", "dbpo:Runner", "owl:Thing")} <= got
+    assert {("map:hasCanonicalUri", "foaf:Person", "dbpo:Person"), ("map:hasCanonicalUri", "x:Runner", "dbpo:Runner"), ("map:hasInterestingClass", "dbpo:Runner", "dbpo:Person"), ("map:hasSuperClass", "dbpo:Runner", "dbpo:Athlete"), ("map:hasSuperClass", "dbpo:Runner", "owl:Thing")} <= got
     assert not any(o in ("x:Lone", "y:Other", "owl:Agent") for _, o, _ in got)
 
 
@@ -346,7 +346,7 @@ def test_xml_sources(spark, tmp_path):
     assert [(r.id, r.title, r.p) for r in w.withColumn("p", readers.wiki_plain(F.col("text"))).collect()] == [("1", "t1", "A c  < d")]
     assert readers.read_wiki(spark, str(tmp_path / "w.xml"), max_docs=1).count() == 1
     (tmp_path / "g").mkdir()
-    (tmp_path / "g" / "d.xml").write_text('<GateDocument><AnnotationSet Name="Key"><Annotation Id="1" Type="Mention" StartNode="0" EndNode="4"><Feature><Name>inst</Name><Value>C1</Value></Feature></Annotation><Annotation Id="2" Type="Other" StartNode="0" EndNode="4"></Annotation></AnnotationSet></GateDocument>')
+    (tmp_path / "g" / "d.xml").write_text('<Document><AnnotationSet Name="Key"><Annotation Id="1" Type="Mention" StartNode="0" EndNode="4"><Feature><Name>inst</Name><Value>C1</Value></Feature></Annotation><Annotation Id="2" Type="Other" StartNode="0" EndNode="4"></Annotation></AnnotationSet></Document>')
     a = readers.read_annotations(spark, str(tmp_path / "g")).collect()
     assert len(a) == 1 and a[0].features == {"inst": "C1"} and (a[0].start, a[0].stop) == (0, 4)
     (tmp_path / "o.owl").write_text('<rdf:RDF xmlns:rdf="r" xmlns:owl="o" xmlns:rdfs="s"><owl:Class rdf:about="A"><rdfs:subClassOf rdf:resource="B"/><owl:equivalentClass rdf:resource="C"/></owl:Class></rdf:RDF>')
