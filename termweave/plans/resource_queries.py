@@ -1,7 +1,8 @@
 """Queries of the resource operators over the data tables, each with the SQL that gives the same rows.
 
-Where the data have no table of the wanted shape, a view stands in: ``types`` are the label info rows whose type list is one plain value;
-the group KCX holds the types up to T441, BMH all of them; frequencies and ranks keep the last row per key.
+Where the data have no table of the wanted shape, a view stands in: ``listed_types`` are all types that label info lists for a concept,
+``types`` only those of rows whose type list is one plain value, which is as far as SQL goes; the group KCX holds the types up to T441, BMH
+all of them; frequencies and ranks keep the last row per key. Queries ending in _kcx and _bmh, and label_candidates_json, use ``listed_types``.
 """
 
 from __future__ import annotations
@@ -13,11 +14,11 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as fl
 from ..functions import uris
-from ..operators import candidates, classes, concepts, freq, graph, labels, lookup, rowops
+from ..operators import candidates, classes, concepts, freq, graph, labels, lookup, packed, rowops
 from ..session import shared_path, staged, table
 from ..sources import readers, sinks
 from ..streaming import keyed
-from . import pipelines, script
+from . import pipelines, problem_queries, script
 
 Q = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Q] = {}
@@ -50,6 +51,16 @@ def types(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "labelinfo").filter(F.col("cui").isNotNull()).select("cui", F.col("stys").alias("sty")).join(F.broadcast(st), "sty").select("cui", "tui", "sty").distinct()
 
 
+def listed_types(spark: SparkSession, d: str) -> DataFrame:
+    """The distinct types of each concept: every value listed in stys, and every code in tuis of rows that give the codes only."""
+    st = table(spark, d, "semtypes")
+    names, codes = problem_queries.fixed_values(st, "sty"), problem_queries.fixed_values(st, "tui")
+    fields = {"stys": packed.ListGrammar(tuple(names)), "tuis": packed.ListGrammar(tuple(codes), blanks=True)}
+    listed = packed.unpack(table(spark, d, "labelinfo").filter(F.col("cui").isNotNull()), fields, ["cui"]).select("cui", "fld", "val").distinct()
+    known = st.select(F.lit("stys").alias("fld"), F.col("sty").alias("val"), "tui", "sty").unionByName(st.select(F.lit("tuis").alias("fld"), F.col("tui").alias("val"), "tui", "sty"))
+    return listed.join(F.broadcast(known), ["fld", "val"]).select("cui", "tui", "sty").distinct()
+
+
 def groups(spark: SparkSession, d: str) -> DataFrame:
     st = table(spark, d, "semtypes")
     return st.filter(F.col("tui") <= "T441").select(F.lit("KCX").alias("styclass"), "sty").unionByName(st.select(F.lit("BMH").alias("styclass"), "sty"))
@@ -115,8 +126,8 @@ def preferred_label(spark, d):
     return labels.preferred(atoms_view(spark, d))
 
 
-def _info(spark, d) -> DataFrame:
-    return concepts.concept_info(concepts.selected_types(types(spark, d), groups(spark, d), "KCX"), atoms_view(spark, d), freq_view(spark, d), rank_view(spark, d))
+def _info(spark, d, view=types, group="KCX") -> DataFrame:
+    return concepts.concept_info(concepts.selected_types(view(spark, d), groups(spark, d), group), atoms_view(spark, d), freq_view(spark, d), rank_view(spark, d))
 
 
 @query(f"SELECT * FROM {_INFO}")
@@ -124,8 +135,8 @@ def concept_info(spark, d):
     return _info(spark, d)
 
 
-def _labels(spark, d) -> DataFrame:
-    return concepts.label_info(atoms_view(spark, d), _info(spark, d), label_freq_view(spark, d))
+def _labels(spark, d, view=types, group="KCX") -> DataFrame:
+    return concepts.label_info(atoms_view(spark, d), _info(spark, d, view, group), label_freq_view(spark, d))
 
 
 @query(f"SELECT * FROM {_LABELS}")
@@ -135,7 +146,7 @@ def label_info(spark, d):
 
 @query()
 def label_candidates_json(spark, d):
-    return candidates.label_candidates(staged(_labels(spark, d)))
+    return candidates.label_candidates(staged(_labels(spark, d, listed_types)))
 
 
 @query(
@@ -252,8 +263,8 @@ def superclass_closure(spark, d):
 # Gazetteer and exports -------------------------------------------------------------------------------------------------------------
 
 
-def _gazetteer(spark, d) -> DataFrame:
-    return pipelines.gazetteer(atoms_view(spark, d), types(spark, d), groups(spark, d), table(spark, d, "language_codes"), "KCX", ("en", "de"))
+def _gazetteer(spark, d, view=types, group="KCX") -> DataFrame:
+    return pipelines.gazetteer(atoms_view(spark, d), view(spark, d), groups(spark, d), table(spark, d, "language_codes"), group, ("en", "de"))
 
 
 _GAZ = f"(SELECT DISTINCT a.str FROM {_ATOMS} a WHERE a.cui IN (SELECT cui FROM {_KCX}) AND a.lat IN (SELECT umlslabel FROM language_codes WHERE iso6391 IN ('en', 'de')))"
@@ -271,10 +282,14 @@ def gazetteer_uncased(spark, d):
     return pipelines.uncased(_gazetteer(spark, d))
 
 
+def _abstracts(spark, d, view=types, group="KCX") -> DataFrame:
+    defs = table(spark, d, "documents").select("cui", F.col("text").alias("def"))
+    return pipelines.abstracts(defs, concepts.selected_types(view(spark, d), groups(spark, d), group))
+
+
 @query(f"SELECT x.cui, replace(x.text, chr(9), '&#x0009;') AS def FROM documents x JOIN {_KCX} t ON x.cui = t.cui")
 def abstracts_export(spark, d):
-    defs = table(spark, d, "documents").select("cui", F.col("text").alias("def"))
-    return pipelines.abstracts(defs, concepts.selected_types(types(spark, d), groups(spark, d), "KCX"))
+    return _abstracts(spark, d)
 
 
 @query("SELECT str, string_agg(DISTINCT cui, ',' ORDER BY cui) AS cuis FROM mrconso WHERE str IS NOT NULL GROUP BY str")
@@ -335,6 +350,20 @@ def semantic_group_filter(spark, d):
     return concepts.selected_types(types(spark, d), groups(spark, d), "KCX")
 
 
+# The same over every listed type, of which SQL can't split the lists: by group, as BMH keeps the most frequent concepts
+_LISTED = {
+    "concept_info": _info,
+    "label_info": _labels,
+    "label_candidates_json": lambda s, d, v, g: candidates.label_candidates(staged(_labels(s, d, v, g))),
+    "label_candidates_back": lambda s, d, v, g: candidates.read_candidates(candidates.label_candidates(staged(_labels(s, d, v, g)))).drop("pos"),
+    "gazetteer_cased": lambda s, d, v, g: pipelines.cased(_gazetteer(s, d, v, g)).orderBy("str"),
+    "gazetteer_uncased": lambda s, d, v, g: pipelines.uncased(_gazetteer(s, d, v, g)),
+    "abstracts_export": _abstracts,
+    "semantic_group_filter": lambda s, d, v, g: concepts.selected_types(v(s, d), groups(s, d), g),
+}
+_QUERIES |= {f"{name}_{group.lower()}": lambda s, d, f=f, g=group: f(s, d, listed_types, g) for name, f in _LISTED.items() for group in ("KCX", "BMH")}
+
+
 @query("SELECT line_no, str FROM mrconso WHERE regexp_matches(str, '[a-zA-Z][A-Z]') AND str NOT LIKE '% %'")
 def acronym_labels(spark, d):
     return table(spark, d, "mrconso").filter(fl.is_acronym(F.col("str"))).select("line_no", "str")
