@@ -88,9 +88,9 @@ def p6_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_length_spikes(spark: SparkSession, d: str) -> DataFrame:
-    """Field limits by source: lengths in characters and bytes that hold far more values than those around them."""
+    """Field limits by source: lengths in characters and bytes (from_len to len) that hold far more values than those around them."""
     fields = {**LABELS, "labelinfo_json": ("info", "writer")}
-    parts = [truncation.length_spikes(truncation.length_histogram(table(spark, d, t), s, c)).select(F.lit(t).alias("tab"), "source", "unit", "len", "n", "n_open") for t, (c, s) in fields.items()]
+    parts = [truncation.length_spikes(truncation.length_histogram(table(spark, d, t), s, c)).select(F.lit(t).alias("tab"), "source", "unit", "from_len", "len", "n", "n_open") for t, (c, s) in fields.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 

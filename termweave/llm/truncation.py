@@ -52,25 +52,40 @@ def length_histogram(df: DataFrame, source: str, column: str) -> DataFrame:
 
 
 def length_spikes(hist: DataFrame) -> DataFrame:
-    """The lengths of a histogram that are field limits. Works on (source, unit, len) rows, of which there are as many as lengths."""
+    """The lengths of a histogram that are field limits. Works on (source, unit, len) rows, of which there are as many as lengths.
+
+    A spike holds the lengths from_len to len, more than one only where the limit is in bytes; n and n_open count all of them.
+    """
     w = Window.partitionBy("source", "unit").orderBy("len")
     # counts of the WINDOW lengths below, missing lengths counting as zero
     below = F.sum("n").over(w.rangeBetween(-WINDOW - SLACK, -SLACK - 1)) / F.lit(WINDOW)
     near = F.sum("n").over(w.rangeBetween(-SLACK, 0))
+    near_open = F.sum("n_open").over(w.rangeBetween(-SLACK, 0))
     above = F.sum("n").over(w.rangeBetween(1, WINDOW)) / F.lit(WINDOW)
+    usual = F.greatest("below", "above", F.lit(1.0))
+    # a limit of C characters leaves spikes of C and a few more bytes, but fewer values there than of C characters
+    chars = F.max(F.when(F.col("unit") == "chars", F.col("n"))).over(Window.partitionBy("source").orderBy("len").rangeBetween(-SLACK, 0))
+    in_bytes = (F.col("unit") == "bytes") & (F.coalesce("chars", F.lit(0)) <= F.col("n"))
+    alone = (F.col("n") >= LEAST) & (F.col("n") > TIMES * usual)
+    # the lengths of the slack hold the usual number each besides what is cut; the last one must stand out itself, or it isn't the limit
+    together = in_bytes & (F.col("near") >= LEAST) & (F.col("near") > (TIMES + SLACK) * usual) & (F.col("n") > TIMES * F.greatest("above", F.lit(1.0)))
+    counted = hist.withColumn("below", F.coalesce(below, F.lit(0.0))).withColumn("near", near).withColumn("near_open", near_open).withColumn("above", F.coalesce(above, F.lit(0.0))).withColumn("chars", chars)
+    # what lies at most SLACK below another spike is within it
+    higher = F.max("covers").over(w.rangeBetween(1, SLACK))
+    spikes = counted.withColumn("alone", alone).filter(alone | together).withColumn("covers", in_bytes).withColumn("within", F.coalesce(higher, F.lit(False)))
+    covers = F.col("covers") & ~F.col("within")
     return (
-        hist.withColumn("below", F.coalesce(below, F.lit(0.0))).withColumn("near", near).withColumn("above", F.coalesce(above, F.lit(0.0)))
-        .filter((F.col("n") >= LEAST) & (F.col("n") > TIMES * F.greatest("below", "above", F.lit(1.0))))
-        .select("source", "unit", "len", "n", "n_open", "below", "above")
+        spikes.filter(F.col("alone") | ~F.col("within"))
+        .select("source", "unit", F.when(covers, F.greatest(F.col("len") - SLACK, F.lit(0))).otherwise(F.col("len")).alias("from_len"), "len", F.when(covers, F.col("near")).otherwise(F.col("n")).alias("n"), F.when(covers, F.col("near_open")).otherwise(F.col("n_open")).alias("n_open"), "below", "above")
     )
 
 
 def suspects(df: DataFrame, source: str, column: str, keep: list[str]) -> DataFrame:
-    """``keep`` of the values at a spike length (in characters or bytes) without terminal punctuation.
+    """``keep`` of the values at a length of a spike (in characters or bytes) without terminal punctuation.
 
-    Spikes are few (a source has at most max length/WINDOW of them), so they are broadcast.
+    Spikes are few (a source has at most max length/WINDOW of them), so their lengths are broadcast.
     """
-    spikes = length_spikes(length_histogram(df, source, column)).select(F.col("source").alias("_s"), F.col("unit").alias("_u"), F.col("len").alias("_l"))
+    spikes = length_spikes(length_histogram(df, source, column)).select(F.col("source").alias("_s"), F.col("unit").alias("_u"), F.explode(F.sequence("from_len", "len")).alias("_l")).distinct()
     v = F.col(column)
     rows = df.filter(v.isNotNull() & open_end(v))
     two = F.array(F.struct(F.lit("chars").alias("_u"), F.length(v).alias("_l")), F.struct(F.lit("bytes").alias("_u"), F.octet_length(v).alias("_l")))

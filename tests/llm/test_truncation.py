@@ -40,6 +40,18 @@ def test_spikes_in_characters_and_bytes(spark):
     assert t.suspects(df.limit(0), "src", "v", ["line_no"]).count() == 0
 
 
+def test_a_byte_limit_takes_in_the_lengths_just_below(spark):
+    cut = lambda n, x, size: [(x * k + "é" * 40).encode()[:size].decode(errors="ignore") for k in (0, 1) for _ in range(n)]
+    few = ["€" * 16 + x for x in ("ab", "a", "") for _ in range(12)]  # 50, 49 and 48 bytes, none of them a spike alone
+    in_chars = ["x" * (40 - k) + "é" * k for k, n in ((0, 100), (1, 30), (2, 10)) for _ in range(n)]
+    texts = [("s1", v) for v in cut(15, "x", 51)] + [("s1", "x" * 51)] * 60 + [("s2", v) for v in few] + [("s4", v) for v in in_chars]
+    other = [("s3", "w" * n) for n in range(1, 40) for _ in range(15)] + [("s4", "w" * n) for n in (37, 38, 39) for _ in range(3)]
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(texts + other)], "line_no long, src string, v string")
+    got = {(r.source, r.from_len, r.len, r.n) for r in t.length_spikes(t.length_histogram(df, "src", "v")).collect() if r.unit == "bytes"}
+    assert got == {("s1", 48, 51, 90), ("s2", 47, 50, 36), ("s4", 40, 40, 100), ("s4", 41, 41, 30)}  # 40 characters are no limit in bytes
+    assert {r.line_no for r in t.suspects(df, "src", "v", ["line_no"]).collect()} == set(range(len(texts)))
+
+
 JSON = {
     "[]": True, " [1, {\"a\": [2]}]\n": True, "[1": False, "[1]]": False, "[1][2]": False, "{}": False, "": False, "[NaN]": False, "[1] x": False, '["a': False, "['a']": False, '["]"]': True, "null": False,
     "[" * 50_000 + "]" * 50_000: True, "[" * 50_000 + "]" * 49_999: False, json.dumps(["x" * 500_000]): True,
