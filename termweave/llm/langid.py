@@ -158,7 +158,7 @@ def _fit(texts: list[str], langs: list[str], labels: list[str]) -> Model:
         odds = np.clip(right / len(texts_), 0.5, 0.999)
         trust = np.log(odds / (1 - odds)) + 1e-3
         model.trust = (trust * BITS / trust.sum()).astype(np.float32)
-        cut = [(f" {t[k : k + n].strip()} ", y) for t, y in held[:4000] for n in FRAGMENTS for k in (len(t) // 3,) if t[k : k + n].strip()]
+        cut = [(f" {t[k : k + n].strip()} ", y) for t, y in held for n in FRAGMENTS for k in (len(t) // 3,) if t[k : k + n].strip()]
         losses, right = model.losses([t for t, _ in cut]), [index[y] for _, y in cut]
         scored = []
         for sharp in 2.0 ** np.arange(-2, 6):

@@ -93,3 +93,13 @@ def test_edge_cases(spark):
 def test_codewords_are_far_apart():
     code = langid.codewords(12)
     assert min((code[i] != code[j]).sum() for i in range(12) for j in range(i)) >= 8
+
+
+def test_confidence_is_fitted_on_every_language(monkeypatch):
+    scored = []
+    plain = langid.Model.losses
+    monkeypatch.setattr(langid.Model, "losses", lambda self, texts: scored.extend(texts) or plain(self, texts))
+    letters = {"aa": "b", "bb": "c", "cc": "d"}
+    texts = [(f" {x * 20} ", y) for y, x in letters.items() for _ in range(7500)]  # 1,500 of each are held out
+    langid._fit([t for t, _ in texts], [y for _, y in texts], list(letters))
+    assert {x: sum(x in t for t in scored) for x in letters.values()} == dict.fromkeys(letters.values(), 1500 * len(langid.FRAGMENTS))
