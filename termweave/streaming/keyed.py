@@ -22,12 +22,18 @@ def running_mention_counts(stream: DataFrame, mention: str = "mention", anchor:
 
 
 def _merge(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    texts = list(state.get) if state.exists else None
+    """A group comes in several frames, so it is reduced to the first line of each distinct value before anything is folded."""
+    first: list[dict] = [{}, {}, {}]
     for f in frames:
-        f = f.sort_values("line_no")
-        for row in f[["v0", "v1", "v2"]].itertuples(index=False):
-            row = [x or "" for x in row]
-            texts = list(row) if texts is None else [t if v in t else f"{t}|{v}" for t, v in zip(texts, row)]
+        line = f["line_no"].fillna(float("inf"))
+        for i, lines in enumerate(first):
+            for v, n in line.groupby(f[f"v{i}"].fillna("")).min().items():
+                lines[v] = min(n, lines.get(v, n))
+    texts = list(state.get) if state.exists else [None] * 3
+    for i, lines in enumerate(first):
+        for v in sorted(lines, key=lambda v: (lines[v], v)):
+            t = texts[i]
+            texts[i] = v if t is None else t if v in t else f"{t}|{v}"
     state.update(tuple(texts))
     yield pd.DataFrame([[*key, *texts]], columns=["label", "uri", "v0", "v1", "v2"])
 

@@ -34,3 +34,15 @@ def test_merge_keeps_state_between_batches(spark, tmp_path):
     df = spark.createDataFrame([("l", "u", f"s{i}", "a", "b", i) for i in range(6)], "label string, uri string, v0 string, v1 string, v2 string, line_no int")
     got = keyed.drained(keyed.running_merge(stream(spark, tmp_path, df, 3), "label", "uri", ["v0", "v1", "v2"], "line_no"), str(tmp_path / "o"), str(tmp_path / "c"), ["label", "uri"]).collect()
     assert len(got) == 1 and sorted(got[0].v0.split("|")) == [f"s{i}" for i in range(6)] and got[0].v1 == "a"
+
+
+def test_merge_of_a_group_in_many_frames(spark, tmp_path, rows):
+    df = spark.createDataFrame([("l", "u", f"s{i * 7 % 40}", "a" if i % 2 else None, f"{i % 5}", i) for i in reversed(range(200))], "label string, uri string, v0 string, v1 string, v2 string, line_no int")
+    want = rows(classes.merge_label_info(df, ["label", "uri"], ["v0", "v1", "v2"], "line_no"))
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "9")
+    try:
+        got = rows(keyed.drained(keyed.running_merge(stream(spark, tmp_path, df, 1), "label", "uri", ["v0", "v1", "v2"], "line_no"), str(tmp_path / "o"), str(tmp_path / "c"), ["label", "uri"]).select("label", "uri", "v0", "v1", "v2"))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert got == want
