@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import staged
 from .skew import unused
@@ -25,7 +26,9 @@ def _changes(col: pa.Array) -> np.ndarray:
     return codes[1:] != codes[:-1]
 
 
-def _runs(keys: list[str], names: list[str], schema: pa.Schema):
+def run_places(keys: list[str], names: list[str], schema: pa.Schema):
+    """Over batches sorted by ``keys``: the rows with partition, place in it, place in their run, and whether their run is the first one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -70,7 +73,7 @@ def number_rows(df: DataFrame, keys: list[str], order: list[Column], name: str =
     pid, pos, place, first = (unused(x, df) for x in ("_pid", "_pos", "_place", "_first"))
     extra = pa.schema([(pid, pa.int32()), (pos, pa.int64()), (place, pa.int64()), (first, pa.bool_())])
     out = T.StructType([*ordered.schema.fields, T.StructField(pid, T.IntegerType()), T.StructField(pos, T.LongType()), T.StructField(place, T.LongType()), T.StructField(first, T.BooleanType())])
-    rows = staged(ordered.mapInArrow(_runs(keys, kept, extra), out))
+    rows = staged(ordered.mapInArrow(run_places(keys, kept, extra), out))
     key = F.struct(*by)
     ends = (
         rows.groupBy(F.col(pid).alias("p"))
@@ -90,6 +93,71 @@ def number_rows(df: DataFrame, keys: list[str], order: list[Column], name: str =
     return numbered.select(*kept, (F.col(place) + 1 + F.when(F.col(first), F.col(offset)).otherwise(F.lit(0))).alias(name))
 
 
+def _starts(keys: list[str], names: list[str], value: str | None, keep: list[str], name: str, later: bool, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        pid, pos, runs, head, last, start = TaskContext.get().partitionId(), 0, 0, None, None, 0
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            here = [b.column(names.index(k)) for k in keys]
+            new = np.zeros(n, dtype=bool)
+            for c in here:
+                new[1:] |= _changes(c)
+            key = [c[0].as_py() for c in here]
+            new[0] = head is None or last != key
+            head = key if head is None else head
+            own = np.arange(pos, pos + n) + (pid << 33) if value is None else b.column(names.index(value)).to_numpy(zero_copy_only=False)
+            at = np.maximum.accumulate(np.where(new, np.arange(n), -1))
+            starts = np.where(at >= 0, own[np.maximum(at, 0)], start)
+            number = np.cumsum(new) + runs
+            first = number == 1
+            pos, runs, last, start = pos + n, int(number[-1]), [c[n - 1].as_py() for c in here], int(starts[-1])
+            cols = [*[b.column(names.index(c)) for c in keep], pa.array(starts), pa.array(np.full(n, pid, dtype=np.int32)), pa.array(first), *[pa.nulls(n, f.type) for f in list(schema)[len(keep) + 3 :]]]
+            out = pa.RecordBatch.from_arrays(cols, schema=schema)
+            yield out.filter(pa.array(~new | first)) if later else out
+        if head is not None:  # one more row: what the next partition has to know of this one
+            edge = [*[None] * len(keep), start, pid, runs == 1, *head, *last]
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(edge + [True], schema)], schema=schema)
+
+    return run
+
+
+def run_starts(df: DataFrame, keys: list[str], order: list[Column], value: str | None, keep: list[str], name: str, later: bool = False) -> DataFrame:
+    """``keep`` and ``name``: the ``value`` (a long, not null) of the first row of the row's key, in ``order`` (give a total order).
+
+    Without ``value`` a number that no other key has. ``later`` leaves out the first row of each key; its ``value`` must then be unique in the key.
+    One shuffle into ranges of (key, order), so a key with a third of all rows spreads over a third of the partitions. Only the first
+    key of a range can have begun earlier: one row per partition reaches the driver. Null keys count as one key.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [F.col(k) for k in keys]
+    ordered = df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
+    names = ordered.columns
+    fields = [*[ordered.schema[c] for c in keep], T.StructField(name, T.LongType()), T.StructField("_pid", T.IntegerType()), T.StructField("_first", T.BooleanType())]
+    fields += [T.StructField(f"_{side}{i}", ordered.schema[k].dataType) for side in "ht" for i, k in enumerate(keys)] + [T.StructField("_edge", T.BooleanType())]
+    out = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    rows = staged(ordered.mapInArrow(_starts(keys, names, value, keep, name, later, to_arrow_schema(out)), out))
+    carried, tail, offsets = None, None, []
+    for e in rows.filter("_edge").orderBy("_pid").collect():
+        head, end = [e[f"_h{i}"] for i in range(len(keys))], [e[f"_t{i}"] for i in range(len(keys))]
+        begun = carried if tail is not None and head == tail else None
+        offsets.append((e["_pid"], begun))
+        carried = begun if e["_first"] and begun is not None else e[name]
+        tail = end
+    border = spark.createDataFrame(offsets or [(-1, None)], "_pid int, _begun long")
+    start = F.when(F.col("_first"), F.coalesce("_begun", name)).otherwise(F.col(name))
+    done = rows.filter("_edge is null").join(F.broadcast(border), "_pid").withColumn(name, start)
+    if later:
+        done = done.filter(F.col(value) != F.col(name))
+    done = done.select(*keep, name)
+    done._staged_at = rows._staged_at
+    return done
+
+
 def chunked(df: DataFrame, keys: list[str], order: list[Column], chunk_rows: int = CHUNK) -> DataFrame:
     """``number_rows`` plus ``chunk_no``: chunks of exactly ``chunk_rows`` rows of a key (the last may be shorter)."""
     return number_rows(df, keys, order).withColumn("chunk_no", F.expr(f"(row_no - 1) div {int(chunk_rows)}"))

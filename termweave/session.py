@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -40,25 +41,38 @@ def shared_path(spark: SparkSession, kind: str = "table") -> str:
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
-    Cuts the lineage: later jobs read files that outlive any executor. The files go when the program ends.
+    Cuts the lineage: later jobs read files that outlive any executor. The files go with ``release``, or when the program ends.
     """
     spark = df.sparkSession
     path = shared_path(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of staged frames that nothing reads any more. Frames that aren't staged are left alone."""
+    for df in frames:
+        path = getattr(df, "_staged_at", None)
+        if path and (df.sparkSession, path) in _made:
+            _made.remove((df.sparkSession, path))
+            _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    if path.startswith("file:/") and os.path.isdir(local := "/" + path[5:].lstrip("/")):
+        shutil.rmtree(local, ignore_errors=True)
+    else:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 @atexit.register
 def _drop() -> None:
     for spark, path in _made:
         try:
-            if path.startswith("file:/") and os.path.isdir(local := "/" + path[5:].lstrip("/")):
-                import shutil
-
-                shutil.rmtree(local, ignore_errors=True)
-            else:
-                jvm = spark.sparkContext._jvm
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
         except Exception:  # the session may be gone
             pass
