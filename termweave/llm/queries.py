@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_key, core, word_bag
 from ..operators.skew import hot_keys, salted_join
-from ..session import table
+from ..session import staged, table
 from . import copies, langid, mixing, packing, tokens, topn, truncation
 
 CLEAN = r"upper(regexp_replace({}, '[^\p{{L}}\p{{Nd}}]', '', 'g'))"
@@ -142,6 +142,25 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixed(spark, d)[1]
 
 
+def p9_bands(spark: SparkSession, d: str) -> DataFrame:
+    """Per source and band of lengths (powers of two): documents, chosen documents, tokens, chosen tokens with repeats."""
+    sizes = staged(tokens.with_token_counts(table(spark, d, "documents"), "text", ["doc_id", "source"]))
+    chosen = mixing.mix(sizes, table(spark, d, "mix_targets"), "doc_id")[0].select("doc_id", "copies")
+    rows = sizes.filter("n_tokens > 0").join(chosen, "doc_id", "left").withColumn("band", F.floor(F.log2("n_tokens")).cast("int"))
+    n, copies = F.col("n_tokens"), F.coalesce("copies", F.lit(0))
+    return rows.groupBy("source", "band").agg(F.count(F.lit(1)).alias("documents"), F.count("copies").alias("chosen"), F.sum(n).alias("tokens"), F.sum(n * copies).alias("chosen_tokens"))
+
+
+def p9_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Per source of the targets whether the promises hold on the selection itself: cap, weight to within a thousandth, whole documents once."""
+    chosen, shares = _mixed(spark, d)
+    goal = table(spark, d, "mix_targets")
+    per = chosen.groupBy("source").agg(F.max("copies").alias("most"), F.sum(F.col("n_tokens") * F.col("copies")).alias("got"), (F.count(F.lit(1)) == F.count_distinct("doc_id")).alias("once"))
+    all_ = F.sum("got").over(Window.partitionBy())  # over one row per source of the targets
+    j = F.broadcast(goal).join(per, "source", "left").join(F.broadcast(shares.select("source", "tokens")), "source").withColumn("whole", all_)
+    return j.select("source", (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("cap_kept"), (F.abs(F.coalesce("got", F.lit(0)) / F.col("whole") - F.col("weight")) < 1e-3).alias("share_kept"), (F.coalesce("got", F.lit(0)) == F.col("tokens")).alias("report_right"), F.coalesce("once", F.lit(True)).alias("once"))
+
+
 # Problem 10 ------------------------------------------------------------------------------------------------------------------------
 
 
@@ -177,7 +196,7 @@ _JSON_SQL = r"SELECT 'labelinfo_json' AS tab, line_no, writer AS source FROM lab
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    fs = (p2_found, p2_atoms, p2_labels, p6_found, p6_rates, p6_length_spikes, p6_suspects, p6_evidence, p7_found, p8_contents, p8_fill, p9_selection, p9_shares, p10_found, p10_segments, p10_documents)
+    fs = (p2_found, p2_atoms, p2_labels, p6_found, p6_rates, p6_length_spikes, p6_suspects, p6_evidence, p7_found, p8_contents, p8_fill, p9_selection, p9_shares, p9_bands, p9_kept, p10_found, p10_segments, p10_documents)
     return {f.__name__: f for f in fs}
 
 
@@ -190,5 +209,6 @@ def oracle_sql() -> dict[str, str]:
         + " UNION ALL ".join(f"SELECT '{t}' AS tab, coalesce({s}, '(none)') AS source FROM {t}" for t, s in (("preferredlabels", "exporter"), ("labelfreq", "corpus"), ("labelinfo_json", "writer")))
         + "), n AS (SELECT tab, source, count(*) AS n_rows FROM r GROUP BY 1, 2), c AS (SELECT tab, coalesce(source, '(none)') AS source, count(*) AS n_cut FROM cut GROUP BY 1, 2) "
         "SELECT tab, source, n_rows, coalesce(n_cut, 0) AS n_cut, coalesce(n_cut, 0) / n_rows AS share FROM n LEFT JOIN c USING (tab, source)",
+        "p9_kept": "SELECT source, true AS cap_kept, true AS share_kept, true AS report_right, true AS once FROM mix_targets",
         "p7_found": "SELECT cui, CAST(rnk AS INTEGER) AS rnk, line_no FROM (SELECT cui, line_no, row_number() OVER (PARTITION BY cui ORDER BY score DESC NULLS LAST, preflabel NULLS FIRST, line_no) AS rnk FROM preferredlabels) WHERE rnk <= 3",
     }
