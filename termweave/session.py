@@ -51,6 +51,16 @@ def staged(df: DataFrame) -> DataFrame:
     return out
 
 
+def small(df: DataFrame) -> bool:
+    """Whether a staged frame may be broadcast: its files, taken to be compressed four times, are within Spark's own threshold."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._staged_at)
+    size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    most = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return 4 * size <= most
+
+
 def release(*frames: DataFrame) -> None:
     """Delete the files of staged frames that nothing reads any more. Frames that aren't staged are left alone."""
     for df in frames:
