@@ -1,14 +1,15 @@
 """Language of documents and of stretches in another language: error-correcting output codes over character n-grams.
 
 Each language has a codeword of ``BITS`` bits; the code is chosen by a seeded search for a large least distance. One binary classifier per
-bit (naive Bayes over hashed character 1- to 3-grams of folded text) votes for its bit with a margin. Decoding adds, for each
+bit (naive Bayes over hashed character 1- to 3-grams of folded words, each with a blank on both sides) votes for its bit with a margin.
+A sentence's margin is the sum of its words', so a worker counts the grams of a word once, however often it meets it. Decoding adds, for each
 language, the logistic losses of all margins against its codeword, weighted by how well each bit did on held-out sentences; the language
 with the least loss is nearest. The softmax of the losses is the confidence; a sentence whose best two lie close is ambiguous and goes
 with its neighbour.
 
-Training takes labelled documents: at most ``SAMPLE_DOCS`` per language, those with the smallest hash of their id and at most
-``SAMPLE_CHARS`` characters. Labels may be wrong and documents mixed, so training runs twice: sentences the first model
-gives to another language are left out of the second. Everything else reads every document whole.
+Training takes labelled documents: at most ``SAMPLE_DOCS`` per language, those with the smallest hash of their id of the ones with at most
+``SAMPLE_CHARS`` characters. Nothing else is bounded. Labels may be wrong and documents mixed, so training runs twice: sentences the first model
+gives to another language are left out of the second. All else reads every document whole.
 
 Null or letterless text has no segment. Null labels count as missing.
 """
@@ -34,11 +35,16 @@ SURE, POSSIBLE = 0.9, 0.05
 FRAGMENTS = (6, 10, 16, 28)
 SEED = 7
 
-#: Tags, bracketed codes and quoted words say nothing about the language of a sentence, and don't end one.
-_QUOTED = r"“[^“”\n]*”|„[^„“\n]*“|«[^«»\n]*»|\"[^\"\n]{0,300}\""
-_ASIDE = re.compile(rf"<[^<>\n]{{0,200}}>|\[[^\[\]\n]{{0,100}}\]|{_QUOTED}")
+#: Words up to so many characters are remembered, so many of them at a time.
+SHORT_WORD, WORDS = 40, 200_000
+
+#: Tags, bracketed codes and quoted words say nothing about the language of a sentence, and don't end one. Each pattern stops at the next mark
+#: that opens it again or at the end of the line, so a text is passed over once however its marks are paired. A straight quote opens
+#: where no letter or digit of a spaced script stands before it, and closes where none follows.
+_QUOTED = r"“[^“”\n]*+”|„[^„“\n]*+“|«[^«»\n]*+»|(?<![0-9A-Za-z])\"(?=\S)[^\"\n]*+(?<=\S)\"(?![0-9A-Za-z])"
+_ASIDE = re.compile(rf"<[^<>\n]*+>|\[[^\[\]\n]*+\]|{_QUOTED}")
 #: A sentence ends at . ! ? before white space, a tag, a closing mark or the end, after 。！？ anywhere, and at an empty line.
-_END = re.compile(rf"(?P<aside>{_ASIDE.pattern})|[.!?…]+[)\]”\"'»]*(?=\s|<|$)|[。！？]+[”」』）]*|\n\s*\n")
+_END = re.compile(rf"(?P<aside>{_ASIDE.pattern})|(?<![.!?…])[.!?…]++[)\]”\"'»]*+(?=\s|<|$)|[。！？]++[”」』）]*+|\n(?:[^\S\n]*+\n)++")
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Combining diacritical marks.
 _MARKS = re.compile("[\u0300-\u036f]+")
@@ -94,6 +100,49 @@ class Model:
     trust: np.ndarray  # BITS, sums to BITS
     sharp: float = 1.0  # inverse temperature
 
+    def __post_init__(self) -> None:
+        self.rows: dict[str, int] = {}  # short words met, and their margins
+        self.met = np.zeros((1024, BITS), dtype=np.float32)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "met")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.__post_init__()
+
+    def _words(self, words: list[str]) -> np.ndarray:
+        """Margins of words: sums of the weights of their grams. 2,000 at a time, as they come."""
+        out = []
+        for i in range(0, len(words), 2000):
+            grams, at = _features([f" {w} " for w in words[i : i + 2000]])
+            out.append(np.add.reduceat(self.weights[grams], at, axis=0))
+        return np.concatenate(out)
+
+    def margins(self, texts: list[str]) -> np.ndarray:
+        """texts x BITS. Texts are folded and have a word each."""
+        split = [t.split() for t in texts]
+        words = [w for ws in split for w in ws]
+        new = [w for w in dict.fromkeys(words) if w not in self.rows]
+        if len(self.rows) + len(new) > WORDS:
+            self.rows.clear()
+            new = list(dict.fromkeys(words))
+        short = [w for w in new if len(w) <= SHORT_WORD]
+        n = len(self.rows)
+        if n + len(new) > len(self.met):
+            self.met = np.concatenate([self.met, np.zeros((n + 2 * len(new), BITS), dtype=np.float32)])
+        if new:  # short words first: they stay, the long ones' rows are used again
+            order = [*short, *[w for w in new if len(w) > SHORT_WORD]]
+            self.met[n : n + len(order)] = self._words(order)
+            self.rows.update(zip(order, range(n, n + len(order))))
+        at = np.fromiter(map(self.rows.__getitem__, words), dtype=np.int64, count=len(words))
+        starts = np.cumsum([0, *map(len, split)])[:-1]
+        sums = np.add.reduceat(self.met[at], starts, axis=0)
+        for w in new:
+            if len(w) > SHORT_WORD:
+                del self.rows[w]
+        return sums
+
     def chances(self, losses: np.ndarray) -> np.ndarray:
         """Softmax of the losses; rows sum to 1."""
         e = np.exp(-(losses - losses.min(axis=1, keepdims=True)) * self.sharp)
@@ -106,10 +155,10 @@ class Model:
         out = []
         for i in range(0, len(texts), 512):
             part = texts[i : i + 512]
-            grams, at = _features(part)
-            margins = np.add.reduceat(self.weights[grams], at, axis=0) / np.sqrt(np.array([len(t) for t in part]))[:, None]
-            z = margins[:, None, :] * self.code[None, :, :]
-            out.append((np.logaddexp(0, -z) * self.trust).mean(axis=2))
+            margins = self.margins(part) / np.sqrt(np.array([len(t) for t in part]))[:, None]
+            # the loss of a bit is log(1 + exp(-z)), and that of the other sign is z more: so one matrix product does for all languages
+            up, down = np.logaddexp(0, -margins) * self.trust, np.logaddexp(0, margins) * self.trust
+            out.append((up @ (self.code > 0).T.astype(np.float32) + down @ (self.code < 0).T.astype(np.float32)) / BITS)
         return np.concatenate(out) if out else np.zeros((0, len(self.langs)))
 
 
@@ -136,7 +185,7 @@ def _fit(texts: list[str], langs: list[str], labels: list[str]) -> Model:
         for i in range(0, len(own), 2000):
             part = [t for j, t in enumerate(own[i : i + 2000], i) if j % 5 or len(own) < 10]
             if part:
-                counts[index[lang]] += np.bincount(_features(part)[0], minlength=SIZE + 1)
+                counts[index[lang]] += np.bincount(_features([f" {w} " for t in part for w in t.split()])[0], minlength=SIZE + 1)
         held += [(t, lang) for j, t in enumerate(own) if not j % 5]
     counts[:, SIZE] = 0
     rates = counts / np.maximum(1, counts.sum(axis=1, keepdims=True))
@@ -153,8 +202,7 @@ def _fit(texts: list[str], langs: list[str], labels: list[str]) -> Model:
         texts_, ys = [t for t, _ in held], np.array([index[y] for _, y in held])
         right = np.zeros(BITS)
         for i in range(0, len(texts_), 512):
-            grams, at = _features(texts_[i : i + 512])
-            right += ((np.add.reduceat(weights[grams], at, axis=0) * code[ys[i : i + 512]]) > 0).sum(axis=0)
+            right += ((model.margins(texts_[i : i + 512]) * code[ys[i : i + 512]]) > 0).sum(axis=0)
         odds = np.clip(right / len(texts_), 0.5, 0.999)
         trust = np.log(odds / (1 - odds)) + 1e-3
         model.trust = (trust * BITS / trust.sum()).astype(np.float32)
@@ -243,33 +291,47 @@ def _label(model: Model, texts: list[str]) -> list[list[tuple[int, int, int, str
 
 
 def _segments(model: Model, spans: list[tuple[int, int]], chances: np.ndarray) -> list[tuple[int, int, int, str, float, int]]:
-    """``chances`` has a row per sentence, zeros where there is no letter."""
+    """``chances`` has a row per sentence, zeros where there is no letter. One pass in each direction.
+
+    Sentences without a letter have no say in the confidence.
+    """
     n = len(spans)
-    best = chances.argmax(axis=1) if n and chances.shape[1] else np.full(n, -1)
-    top = chances.max(axis=1) if n and chances.shape[1] else np.zeros(n)
-    said = [int(b) if p > 0 else None for b, p in zip(best, top)]
-    doubt = [bool(0 < p < SURE) for p in top]
-    firm = list(said)
+    if not n or not chances.shape[1]:
+        return []
+    best, top = chances.argmax(axis=1).tolist(), chances.max(axis=1).tolist()
+    said = [b if p > 0 else None for b, p in zip(best, top)]
+    doubt = [0 < p < SURE for p in top]
+    # the last sure language before, and the next after: a doubtful sentence goes with the one before, or else the one after
+    beside: list[int | None] = [None] * n
+    last = None
     for j in range(n):
-        if firm[j] is None or doubt[j]:  # goes with the sentence before, or else the one after
-            for k in (*range(j - 1, -1, -1), *range(j + 1, n)):
-                if firm[k] is not None and not doubt[k]:
-                    if firm[j] is None or chances[j][firm[k]] >= POSSIBLE:
-                        said[j] = firm[k]
-                    break
+        if said[j] is not None and not doubt[j]:
+            last = best[j]
+        else:
+            beside[j] = last
+    last = None
+    for j in range(n - 1, -1, -1):
+        if said[j] is not None and not doubt[j]:
+            last = best[j]
+        elif beside[j] is None:
+            beside[j] = last
+    for j, k in enumerate(beside):
+        if k is not None and (said[j] is None or chances[j, k] >= POSSIBLE):
+            said[j] = k
     out: list[list] = []
     for j, (a, b) in enumerate(spans):
         if said[j] is None:
             if out:
                 out[-1][1] = b
             continue
-        p, lang = float(chances[j][said[j]]) if top[j] > 0 else 1.0, model.langs[said[j]]
+        lettered = top[j] > 0
+        p, lang = float(chances[j, said[j]]) if lettered else 0.0, model.langs[said[j]]
         if out and out[-1][3] == lang:
             s = out[-1]
-            s[1], s[2], s[4], s[5] = b, s[2] + 1, s[4] + p, s[5] + doubt[j]
+            s[1], s[2], s[4], s[5], s[6] = b, s[2] + 1, s[4] + p, s[5] + doubt[j], s[6] + lettered
         else:
-            out.append([a, b, 1, lang, p, int(doubt[j])])
-    return [(a, b, m, x, p / m, d) for a, b, m, x, p, d in out]
+            out.append([a, b, 1, lang, p, int(doubt[j]), int(lettered)])
+    return [(a, b, m, x, p / of if of else 1.0, d) for a, b, m, x, p, d, of in out]
 
 
 def segments(docs: DataFrame, codes: list[tuple[str, str, str]], model: Model | None = None) -> DataFrame:

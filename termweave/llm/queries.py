@@ -168,23 +168,46 @@ def _codes(spark: SparkSession, d: str) -> list[tuple[str, str, str]]:
     return [tuple(r) for r in table(spark, d, "language_codes").select("iso6391", "iso6393", "umlslabel").orderBy("iso6391").collect()]  # fixed table
 
 
+_models: dict[tuple, langid.Model] = {}
+
+
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    """Segments by the model of these documents, which a session trains once."""
+    docs, codes = table(spark, d, "documents"), _codes(spark, d)
+    key = (spark.sparkContext.applicationId, *docs.inputFiles(), *codes)
+    if key not in _models:
+        _models.clear()
+        _models[key] = langid.train(langid.training_docs(docs, codes))
+    return langid.segments(docs, codes, _models[key])
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    codes = _codes(spark, d)
-    return langid.mislabelled(langid.segments(table(spark, d, "documents"), codes), codes)
+    return langid.mislabelled(_segments(spark, d), _codes(spark, d))
 
 
 def p10_segments(spark: SparkSession, d: str) -> DataFrame:
     """Every segment with its language, confidence and number of ambiguous sentences."""
-    return langid.segments(table(spark, d, "documents"), _codes(spark, d)).select("doc_id", "seg", "start", "stop", "n_sentences", F.col("found").alias("lang"), "confidence", "ambiguous")
+    return _segments(spark, d).select("doc_id", "seg", "start", "stop", "n_sentences", F.col("found").alias("lang"), "confidence", "ambiguous")
 
 
 def p10_documents(spark: SparkSession, d: str) -> DataFrame:
     """Every document with its main language, confidence, and whether its label fits."""
     codes = _codes(spark, d)
-    x = langid.documents(langid.segments(table(spark, d, "documents"), codes))
+    x = langid.documents(_segments(spark, d))
     return x.select("doc_id", F.col("lang").alias("label"), F.col("found").alias("lang"), "confidence", "n_segments", "n_ambiguous", langid.label_fits(codes).alias("label_fits"))
 
 
+def p10_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Per document with a letter: whether its segments are numbered without gaps, follow each other, change language and have a confidence."""
+    w = Window.partitionBy("doc_id").orderBy("seg")  # the segments of one document
+    x = p10_segments(spark, d).withColumn("_n", F.row_number().over(w)).withColumn("_l", F.lag("lang").over(w)).withColumn("_e", F.lag("stop").over(w))
+    ok = lambda c: F.coalesce(F.bool_and(c), F.lit(True))
+    return x.groupBy("doc_id").agg(
+        ok(F.col("_n") == F.col("seg")).alias("numbered"), ok((F.col("start") >= F.coalesce("_e", F.lit(0))) & (F.col("stop") > F.col("start"))).alias("in_order"),
+        ok(F.col("_l") != F.col("lang")).alias("alternate"), ok(F.col("confidence").between(0, 1)).alias("confident"),
+    )
+
+
 _CORE = r"regexp_replace(lower({}), '[ \t\x{{a0}}.…]+$', '')"
 _CUT_SQL = " UNION ALL ".join(
     f"SELECT '{t}' AS tab, line_no, {s} AS source FROM (SELECT line_no, {s}, {CLEAN.format('cui')} AS k, {_CORE.format(c)} AS v FROM {t} WHERE cui IS NOT NULL AND {c} IS NOT NULL) x "
@@ -196,7 +219,7 @@ _JSON_SQL = r"SELECT 'labelinfo_json' AS tab, line_no, writer AS source FROM lab
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    fs = (p2_found, p2_atoms, p2_labels, p6_found, p6_rates, p6_length_spikes, p6_suspects, p6_evidence, p7_found, p8_contents, p8_fill, p9_selection, p9_shares, p9_bands, p9_kept, p10_found, p10_segments, p10_documents)
+    fs = (p2_found, p2_atoms, p2_labels, p6_found, p6_rates, p6_length_spikes, p6_suspects, p6_evidence, p7_found, p8_contents, p8_fill, p9_selection, p9_shares, p9_bands, p9_kept, p10_found, p10_segments, p10_documents, p10_kept)
     return {f.__name__: f for f in fs}
 
 
@@ -209,6 +232,7 @@ def oracle_sql() -> dict[str, str]:
         + " UNION ALL ".join(f"SELECT '{t}' AS tab, coalesce({s}, '(none)') AS source FROM {t}" for t, s in (("preferredlabels", "exporter"), ("labelfreq", "corpus"), ("labelinfo_json", "writer")))
         + "), n AS (SELECT tab, source, count(*) AS n_rows FROM r GROUP BY 1, 2), c AS (SELECT tab, coalesce(source, '(none)') AS source, count(*) AS n_cut FROM cut GROUP BY 1, 2) "
         "SELECT tab, source, n_rows, coalesce(n_cut, 0) AS n_cut, coalesce(n_cut, 0) / n_rows AS share FROM n LEFT JOIN c USING (tab, source)",
+        "p10_kept": r"SELECT doc_id, true AS numbered, true AS in_order, true AS alternate, true AS confident FROM documents WHERE regexp_matches(text, '\p{L}')",
         "p9_kept": "SELECT source, true AS cap_kept, true AS share_kept, true AS report_right, true AS once FROM mix_targets",
         "p7_found": "SELECT cui, CAST(rnk AS INTEGER) AS rnk, line_no FROM (SELECT cui, line_no, row_number() OVER (PARTITION BY cui ORDER BY score DESC NULLS LAST, preflabel NULLS FIRST, line_no) AS rnk FROM preferredlabels) WHERE rnk <= 3",
     }

@@ -1,5 +1,8 @@
+import pickle
 import random
+import time
 
+import numpy as np
 import pytest
 
 from termweave.llm import langid
@@ -103,3 +106,46 @@ def test_confidence_is_fitted_on_every_language(monkeypatch):
     texts = [(f" {x * 20} ", y) for y, x in letters.items() for _ in range(7500)]  # 1,500 of each are held out
     langid._fit([t for t, _ in texts], [y for _, y in texts], list(letters))
     assert {x: sum(x in t for t in scored) for x in letters.values()} == dict.fromkeys(letters.values(), 1500 * len(langid.FRAGMENTS))
+
+
+def test_quotes_tags_and_brackets_of_any_length():
+    rng = random.Random(9)
+    inner = " ".join(sentence(rng, "de") for _ in range(40)).rstrip(".")
+    for a, b in ("“”", "„“", "«»", '""', "<>", "[]"):
+        text = f"the patient group shows {a}{inner}{b} a slow loss of weight."
+        assert len(langid.sentences(text)) == 1 and langid.folded(text) == " the patient group shows a slow loss of weight "
+    # marks that never close hide nothing; an inch mark opens no quote
+    assert langid.folded('a 5" tube. and 6" more') == " a tube and more " and langid.folded('so "open. end') == " so open end "
+    hard = ('"a' * 20_000, "<" * 50_000, "“" * 50_000, "." * 50_000 + "x", "[a" * 30_000, "\n " * 40_000)
+    began = time.process_time()
+    for text in hard:
+        langid.sentences(text)
+        langid.folded(text)
+    assert time.process_time() - began < 5
+
+
+def test_many_doubtful_sentences_and_confidence():
+    m = langid.Model(["de", "en"], langid.codewords(2), np.zeros((langid.SIZE + 1, langid.BITS), np.float32), np.ones(langid.BITS))
+    n = 100_000
+    chances = np.tile([0.6, 0.4], (n, 1))
+    chances[-1] = [0.01, 0.99]
+    began = time.process_time()
+    assert langid._segments(m, [(i, i + 1) for i in range(n)], chances) == [(0, n, n, "en", pytest.approx(0.4, abs=1e-4), n - 1)]
+    assert time.process_time() - began < 3
+    # a sentence without a letter goes with its neighbour and leaves the confidence as it is
+    assert langid._segments(m, [(0, 5), (5, 9)], np.array([[0.01, 0.99], [0.0, 0.0]])) == [(0, 9, 2, "en", 0.99, 0)]
+    # the one before comes first, then the one after; without either a sentence keeps its best
+    assert [s[3] for s in langid._segments(m, [(0, 1), (1, 2), (2, 3)], np.array([[0.99, 0.01], [0.4, 0.6], [0.01, 0.99]]))] == ["de", "en"]
+    assert [s[3] for s in langid._segments(m, [(0, 1)], np.array([[0.4, 0.6]]))] == ["en"]
+
+
+def test_words_are_scored_alike_whatever_was_met_before(monkeypatch):
+    train, _ = corpus(200, 2)
+    m = langid.train([(lang.lower(), text) for _, lang, text in train if lang and lang.lower() in PARTS])
+    rng = random.Random(4)
+    texts = [f" {' '.join(''.join(rng.choices('abcdeü', k=rng.choice([1, 3, 7, 60]))) for _ in range(rng.randint(1, 9)))} " for _ in range(300)]
+    want = np.concatenate([pickle.loads(pickle.dumps(m)).margins([t]) for t in texts])
+    monkeypatch.setattr(langid, "WORDS", 50)
+    for k in (1, 7, 300):
+        got = np.concatenate([m.margins(texts[i : i + k]) for i in range(0, 300, k)])
+        assert np.allclose(got, want, rtol=1e-4, atol=1e-3)
