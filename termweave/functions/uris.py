@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.skew import hot_keys, salted_join
+
 # Fixed values.
 BASE = "http://dbpedia.org/resource/"
 NAMESPACES = {
@@ -72,23 +74,29 @@ def recode(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, recode_uri(column)).filter(F.col(column).isNotNull())
 
 
-def canonical(df: DataFrame, column: str, inter_language: DataFrame | None = None, redirects: DataFrame | None = None, same_as: DataFrame | None = None, disambiguations: DataFrame | None = None, drop_empty: bool = False, keep_empty: bool = False) -> DataFrame:
+def canonical(df: DataFrame, column: str, inter_language: DataFrame | None = None, redirects: DataFrame | None = None, same_as: DataFrame | None = None, disambiguations: DataFrame | None = None, drop_empty: bool = False, keep_empty: bool = False, unique: str | None = None) -> DataFrame:
     """Canonical URIs by lookups (each a frame from_uri, to_uri with one row per from_uri): inter-language, then redirects, then sameAs.
 
     A URI that is a disambiguation page has no canonical form: ''. Empty URIs are dropped unless ``keep_empty``; ``drop_empty`` drops rows
     that end up empty; results that hold a ``\\u`` escape are dropped. The order of lookups is our choice. Redirects must be closed
-    (see ``lookup.closed_redirects``).
+    (see ``lookup.closed_redirects``). Hot URIs are salted by the hash of ``unique``, a column that tells rows apart; without one, of the whole row.
     """
     c = F.col(column)
     out = df.withColumn(column, F.coalesce(F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", ""), F.lit("")))
     if not keep_empty:
         out = out.filter(c != "")
+    if unique is None:
+        unique, out = "_row", out.withColumn("_row", F.xxhash64(*df.columns))
+
+    def joined(rows: DataFrame, t: DataFrame) -> DataFrame:
+        return salted_join(rows, t, [column], unique, hot_keys(rows, [column]), "left")
+
     for t in (inter_language, redirects, same_as):
         if t is not None:
-            out = out.join(t.select(F.col("from_uri").alias(column), F.col("to_uri").alias("_to")), column, "left").withColumn(column, F.coalesce("_to", column)).drop("_to")
+            out = joined(out, t.select(F.col("from_uri").alias(column), F.col("to_uri").alias("_to"))).withColumn(column, F.coalesce("_to", column)).drop("_to")
     if disambiguations is not None:
         d = disambiguations.select(F.col("from_uri").alias(column)).distinct().withColumn("_d", F.lit(True))
-        out = out.join(d, column, "left").withColumn(column, F.when(F.col("_d"), "").otherwise(c)).drop("_d")
+        out = joined(out, d).withColumn(column, F.when(F.col("_d"), "").otherwise(c)).drop("_d")
     out = out.filter(~c.contains("\\u"))
     return (out.filter(c != "") if drop_empty else out).select(*df.columns)
 

@@ -23,6 +23,16 @@ def selected_types(types: DataFrame, groups: DataFrame, group: str) -> DataFrame
     return types.join(F.broadcast(groups.filter(F.col("styclass") == group).select("sty").distinct()), "sty", "left_semi").select(*types.columns)
 
 
+def dictionary(atoms: DataFrame, selected: DataFrame) -> DataFrame:
+    """str, cuis: the selected concepts of each label. The types only filter, so a concept with several of them counts once.
+
+    Atoms are first reduced to distinct (str, cui), and a concept with many of them is salted.
+    """
+    pairs = atoms.filter(F.col("str").isNotNull()).select("str", "cui").distinct()
+    kept = salted_join(pairs, selected.select("cui").distinct(), ["cui"], "str", hot_keys(atoms, ["cui"]), "left_semi")
+    return kept.groupBy("str").agg(comma_list("cui").alias("cuis"))
+
+
 def concept_info(types: DataFrame, atoms: DataFrame, freq: DataFrame, rank: DataFrame) -> DataFrame:
     """cui, tuis, stys, pref, vocabs, vocabcount, crisfreq, crisnorm, pagerank of every concept in ``types``.
 

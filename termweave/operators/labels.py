@@ -45,12 +45,13 @@ def scored_labels(atoms: DataFrame) -> DataFrame:
 def best_labels(scored: DataFrame) -> DataFrame:
     """The rows with the best score of their concept and, among these, the shortest label: ties are kept.
 
-    Both limits are aggregates over (cui), combined before the shuffle and joined back, so a concept with very many labels is not
-    gathered as a window would.
+    Both limits are aggregates over (cui), combined before the shuffle and joined back with salt, so a concept with very many labels is
+    not gathered as a window would.
     """
     n = F.length("preflabel")
     limit = scored.groupBy("cui").agg(F.max(F.struct("score", (-n).alias("short"))).alias("_b"))
-    return scored.join(limit, "cui").filter((F.col("score") == F.col("_b.score")) & (n == -F.col("_b.short"))).select(*scored.columns, F.col("_b.score").alias("maxscore"), n.alias("minlen"))
+    j = salted_join(scored, limit, ["cui"], "preflabel", hot_keys(scored, ["cui"]))
+    return j.filter((F.col("score") == F.col("_b.score")) & (n == -F.col("_b.short"))).select(*scored.columns, F.col("_b.score").alias("maxscore"), n.alias("minlen"))
 
 
 def preferred(atoms: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import staged
+from ..session import release, staged
 from ..sources.sinks import keep_first, keep_last
 from .skew import hot_keys, salted_join
 
@@ -48,20 +48,35 @@ def disambiguations(rows: DataFrame, column: str, table: DataFrame, from_col: st
     return j.withColumn("info", F.when(F.col("_to").isNull(), "nodisamb").otherwise("disamb")).withColumn(column, F.coalesce("_to", column)).select(*rows.columns, "info")
 
 
-def update_by_key(table: DataFrame, key: str, value: str, updates: DataFrame, update_key: str, update_value: str, order: str) -> DataFrame:
+def update_by_key(table: DataFrame, key: str, value: str, updates: DataFrame, update_key: str, update_value: str, order: str, unique: str) -> DataFrame:
     """Set ``value`` where ``key`` is among the updates; the last update per key (largest ``order``) wins, others change nothing."""
     last = keep_last(updates.filter(F.col(update_key).isNotNull()).select(update_key, update_value, order), [update_key], order)
     last = last.select(F.col(update_key).alias(key), F.col(update_value).alias("_v"), F.lit(True).alias("_hit"))
-    return table.join(last, key, "left").withColumn(value, F.when(F.col("_hit"), F.col("_v")).otherwise(F.col(value))).select(*table.columns)
-
-
-def closed_redirects(table: DataFrame, rounds: int = 20) -> DataFrame:
-    """from_uri -> the end of its chain, by pointer doubling: after k rounds chains of 2^k are closed. In a circle a URI ends somewhere in it."""
-    cur = staged(table.groupBy("from_uri").agg(F.min("to_uri").alias("to_uri")))
-    for _ in range(rounds):
-        nxt = cur.join(cur.select(F.col("from_uri").alias("to_uri"), F.col("to_uri").alias("_n")), "to_uri", "left")
-        moved = staged(nxt.select("from_uri", F.coalesce("_n", "to_uri").alias("to_uri"), (F.col("_n").isNotNull() & (F.col("_n") != F.col("from_uri"))).alias("_m")))
-        cur = moved.select("from_uri", "to_uri")
-        if moved.filter("_m").isEmpty():
-            break
-    return cur
+    return _join(table, last, key, unique, "left").withColumn(value, F.when(F.col("_hit"), F.col("_v")).otherwise(F.col(value))).select(*table.columns)
+
+
+def closed_redirects(table: DataFrame, rounds: int = 64) -> DataFrame:
+    """from_uri -> the end of its chain, by pointer doubling: after k rounds chains of 2^k steps are closed.
+
+    A URI on a circle, or on a chain that leads into one, has no end: it goes to the smallest URI of the circle. Circles are found by the
+    smallest URI on the way, doubled alongside. More rounds than 2^64 steps need raise an error. Hot targets are salted.
+    """
+    n0 = table.groupBy("from_uri").agg(F.min("to_uri").alias("to_uri"))
+    cur = staged(n0.select("from_uri", "to_uri", F.col("to_uri").alias("least"), F.lit(False).alias("done")))
+    most = cur.count()  # a chain without a circle has at most so many steps
+    for k in range(rounds):
+        step = cur.select(F.col("from_uri").alias("to_uri"), F.col("to_uri").alias("_n"), F.col("least").alias("_l"), F.col("done").alias("_d"))
+        nxt = salted_join(cur, step, ["to_uri"], "from_uri", hot_keys(cur, ["to_uri"]), "left")
+        end = F.col("_n").isNull()
+        new = staged(nxt.select("from_uri", F.coalesce("_n", "to_uri").alias("to_uri"), F.least("least", F.coalesce("_l", "least")).alias("least"), end.alias("done")))
+        release(cur)
+        cur = new
+        if cur.filter(~F.col("done")).isEmpty():
+            return cur.select("from_uri", "to_uri")
+        if 2**k > most:  # whoever is not at an end by now goes round in a circle, and ``to_uri`` lies on it
+            on = cur.filter(~F.col("done"))
+            # 2^k steps from a URI of the circle go all the way round it, so its least is that of the circle
+            least = on.select(F.col("from_uri").alias("to_uri"), F.col("least").alias("_l"))
+            out = on.select("from_uri", "to_uri").join(least, "to_uri", "left").select("from_uri", F.coalesce("_l", "to_uri").alias("to_uri"))
+            return cur.filter("done").select("from_uri", "to_uri").unionByName(out)
+    raise RuntimeError(f"redirects are not closed after {rounds} rounds")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import ACRONYM
 from ..operators import candidates, concepts
+from ..operators.skew import hot_keys, salted_join
 from ..sources import sinks
 
 
@@ -39,10 +40,11 @@ def restricted(atoms: DataFrame, languages: DataFrame, cfg: Config) -> DataFrame
 
 
 def gazetteer(atoms: DataFrame, types: DataFrame, groups: DataFrame, languages: DataFrame, group: str, codes: tuple[str, ...]) -> DataFrame:
-    """Distinct labels of the chosen languages and concepts. Types and languages only filter, so both are semi-joins."""
+    """Distinct labels of the chosen languages and concepts. Types and languages only filter, so both are semi-joins; hot concepts are salted."""
     t = concepts.selected_types(types, groups, group).select("cui").distinct()
     lang = languages.filter(F.col("iso6391").isin(list(codes))).select(F.col("umlslabel").alias("lat")).distinct()
-    return atoms.join(F.broadcast(lang), "lat", "left_semi").join(t, "cui", "left_semi").select("str").distinct()
+    pairs = atoms.join(F.broadcast(lang), "lat", "left_semi").select("cui", "str").distinct()
+    return salted_join(pairs, t, ["cui"], "str", hot_keys(atoms, ["cui"]), "left_semi").select("str").distinct()
 
 
 def cased(labels: DataFrame) -> DataFrame:
@@ -57,9 +59,15 @@ def uncased(labels: DataFrame) -> DataFrame:
     return a.unionByName(labels.filter(~s.rlike(r"\s") & ~s.rlike(ACRONYM)).withColumn("part", F.lit(1)))
 
 
-def abstracts(definitions: DataFrame, types: DataFrame) -> DataFrame:
-    """cui and definition, tabs escaped; one row per definition and type row of its concept."""
-    return definitions.join(types.select("cui"), "cui").select("cui", sinks.escape_tabs(F.col("def")).alias("def"))
+def abstracts(definitions: DataFrame, types: DataFrame, unique: str) -> DataFrame:
+    """cui and definition, tabs escaped; one row per definition and type row of its concept.
+
+    Types are counted per concept, so the join brings a number, and only then is a definition repeated. Hot concepts are salted by the hash of
+    ``unique``, a column that tells definitions apart.
+    """
+    n = types.groupBy("cui").agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    j = salted_join(definitions, n, ["cui"], unique, hot_keys(definitions, ["cui"]))
+    return j.withColumn("_i", F.explode(F.array_repeat(F.lit(0), F.col("_n")))).select("cui", sinks.escape_tabs(F.col("def")).alias("def"))
 
 
 def label_tables(atoms: DataFrame, types: DataFrame, groups: DataFrame, languages: DataFrame, freq: DataFrame, label_freq: DataFrame, rank: DataFrame, cfg: Config) -> dict[str, DataFrame]:
@@ -81,4 +89,4 @@ def run_all(tables: dict[str, DataFrame], out: str, cfg: Config = Config()) -> N
         cased(g).orderBy("str").select(F.col("str").alias("value")).write.mode("overwrite").text(f"{out}/gazetteer/{lang}/cased")
         uncased(g).orderBy("part", "str").select(F.col("str").alias("value")).write.mode("overwrite").text(f"{out}/gazetteer/{lang}/uncased")
     if "definitions" in tables:
-        sinks.write_tsv(abstracts(tables["definitions"], concepts.selected_types(tables["types"], tables["groups"], cfg.group)), f"{out}/abstracts", gz=True)
+        sinks.write_tsv(abstracts(tables["definitions"], concepts.selected_types(tables["types"], tables["groups"], cfg.group), "def"), f"{out}/abstracts", gz=True)

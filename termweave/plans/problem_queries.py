@@ -22,6 +22,12 @@ def fixed_values(df: DataFrame, col: str, most: int = 10_000) -> list[str]:
     return sorted(r[0] for r in rows if r[0] is not None)
 
 
+def listed_sql(field: str, value: str, of: str) -> str:
+    """SQL: the known values (``value`` of table ``of``) that ``field`` holds, in order. Finds what the grammar finds where every value is known."""
+    known = f"(SELECT string_agg(regexp_replace({value}, '([^A-Za-z0-9 _])', '\\\\\\1', 'g'), '|' ORDER BY length({value}) DESC, {value}) FROM {of})"
+    return f"regexp_extract_all({field}, {known})"
+
+
 # Problem 1 -------------------------------------------------------------------------------------------------------------------------
 
 
@@ -102,8 +108,19 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_value_counts(spark: SparkSession, d: str) -> DataFrame:
-    """How often each value is listed, and in how many ways it is written wrong."""
-    return packed_values(spark, d).groupBy("fld", "val").agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("n_errors"), F.max("pos").alias("max_pos"))
+    """How often each value is listed, and how far down."""
+    return packed_values(spark, d).groupBy("fld", "val").agg(F.count(F.lit(1)).alias("n"), F.max("pos").alias("max_pos"))
+
+
+def p3_flags(spark: SparkSession, d: str) -> DataFrame:
+    """How often values are written in each way, and with which errors."""
+    return packed_values(spark, d).groupBy("fld", "how", "error").agg(F.count(F.lit(1)).alias("n"))
+
+
+_LISTED = "(" + " UNION ALL ".join(
+    f"SELECT line_no, '{f}' AS fld, CAST(generate_subscripts(v, 1) AS INTEGER) AS pos, unnest(v) AS val FROM (SELECT line_no, {listed_sql(f, k, t)} AS v FROM labelinfo WHERE {f} IS NOT NULL)"
+    for f, k, t in (("stys", "sty", "semtypes"), ("tuis", "tui", "semtypes"), ("labelvocabs", "rsab", "vocabularies"), ("cuivocabs", "rsab", "vocabularies"))
+) + ")"
 
 
 # Problem 4 -------------------------------------------------------------------------------------------------------------------------
@@ -186,7 +203,7 @@ def _results_sql(key: str) -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_rejects, p1_reject_counts, p1_mrconso, p1_mrcols, p1_mrsab, p3_found, p3_value_counts, p4_found, p4_reasons, p4_counts, p5_label_candidates, p5_label_results, p5_cui_labels, p5_cui_results)}
+    return {f.__name__: f for f in (p1_found, p1_rejects, p1_reject_counts, p1_mrconso, p1_mrcols, p1_mrsab, p3_found, p3_value_counts, p3_flags, p4_found, p4_reasons, p4_counts, p5_label_candidates, p5_label_results, p5_cui_labels, p5_cui_results)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -194,6 +211,7 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": _BAD,
         "p1_reject_counts": f"SELECT fil, umlsversion, count(*) AS n_lines, count(b.line_no) AS n_rejected FROM rrf_lines LEFT JOIN ({_BAD}) b USING (line_no) GROUP BY 1, 2",
         "p1_mrconso": _typed_sql("MRCONSO.RRF"), "p1_mrcols": _typed_sql("MRCOLS.RRF"), "p1_mrsab": _typed_sql("MRSAB.RRF"),
+        "p3_found": f"SELECT * FROM {_LISTED}", "p3_value_counts": f"SELECT fld, val, count(*) AS n, max(pos) AS max_pos FROM {_LISTED} GROUP BY 1, 2",
         "p4_found": f"SELECT tab, line_no FROM {_JUDGED} WHERE reason IS NOT NULL",
         "p4_reasons": f"SELECT tab, line_no, k AS cui, umlsversion, reason FROM {_JUDGED} WHERE reason IS NOT NULL",
         "p4_counts": f"SELECT tab, umlsversion, count(*) AS refs, count(reason) AS orphans, " + ", ".join(f"count(*) FILTER (reason = '{r}') AS {r}" for r in ("missing", "later", "deleted")) + f", count(DISTINCT CASE WHEN reason IS NOT NULL THEN k END) AS orphan_keys FROM {_JUDGED} GROUP BY 1, 2",

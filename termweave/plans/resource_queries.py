@@ -1,8 +1,8 @@
 """Queries of the resource operators over the data tables, each with the SQL that gives the same rows.
 
-Where the data have no table of the wanted shape, a view stands in: ``listed_types`` are all types that label info lists for a concept,
-``types`` only those of rows whose type list is one plain value, which is as far as SQL goes; the group KCX holds the types up to T441, BMH
-all of them; frequencies and ranks keep the last row per key. Queries ending in _kcx and _bmh, and label_candidates_json, use ``listed_types``.
+Where the data have no table of the wanted shape, a view stands in: ``types`` are all types that label info lists for a concept; the group KCX holds the
+types up to T441, BMH all of them; frequencies and ranks keep the last row per key. Concepts are cleaned everywhere (see ``clean_key``), so a
+concept meets its rows however they write it. Queries ending in _bmh take the group BMH, the others KCX.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as fl
 from ..functions import uris
+from ..functions.text import clean_key
 from ..operators import candidates, classes, concepts, freq, graph, labels, lookup, packed, rowops
 from ..session import shared_path, staged, table
 from ..sources import readers, sinks
@@ -47,45 +48,46 @@ def oracle_sql() -> dict[str, str]:
 
 
 def types(spark: SparkSession, d: str) -> DataFrame:
-    st = table(spark, d, "semtypes")
-    return table(spark, d, "labelinfo").filter(F.col("cui").isNotNull()).select("cui", F.col("stys").alias("sty")).join(F.broadcast(st), "sty").select("cui", "tui", "sty").distinct()
-
-
-def listed_types(spark: SparkSession, d: str) -> DataFrame:
     """The distinct types of each concept: every value listed in stys, and every code in tuis of rows that give the codes only."""
     st = table(spark, d, "semtypes")
     names, codes = problem_queries.fixed_values(st, "sty"), problem_queries.fixed_values(st, "tui")
     fields = {"stys": packed.ListGrammar(tuple(names)), "tuis": packed.ListGrammar(tuple(codes), blanks=True)}
-    listed = packed.unpack(table(spark, d, "labelinfo").filter(F.col("cui").isNotNull()), fields, ["cui"]).select("cui", "fld", "val").distinct()
+    listed = packed.unpack(_with_concept(table(spark, d, "labelinfo")), fields, ["cui"]).select("cui", "fld", "val").distinct()
     known = st.select(F.lit("stys").alias("fld"), F.col("sty").alias("val"), "tui", "sty").unionByName(st.select(F.lit("tuis").alias("fld"), F.col("tui").alias("val"), "tui", "sty"))
     return listed.join(F.broadcast(known), ["fld", "val"]).select("cui", "tui", "sty").distinct()
 
 
+def _with_concept(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("cui").isNotNull()).withColumn("cui", clean_key("cui"))
+
+
 def groups(spark: SparkSession, d: str) -> DataFrame:
     st = table(spark, d, "semtypes")
     return st.filter(F.col("tui") <= "T441").select(F.lit("KCX").alias("styclass"), "sty").unionByName(st.select(F.lit("BMH").alias("styclass"), "sty"))
 
 
 def freq_view(spark: SparkSession, d: str) -> DataFrame:
-    return sinks.keep_last(table(spark, d, "cuifreq").filter("cui is not null").select("cui", "cnt", "norm", "line_no"), ["cui"], "line_no")
+    return sinks.keep_last(_with_concept(table(spark, d, "cuifreq")).select("cui", "cnt", "norm", "line_no"), ["cui"], "line_no")
 
 
 def rank_view(spark: SparkSession, d: str) -> DataFrame:
-    return sinks.keep_last(table(spark, d, "pagerank").filter("cui is not null").select("cui", "prob", "line_no"), ["cui"], "line_no")
+    return sinks.keep_last(_with_concept(table(spark, d, "pagerank")).select("cui", "prob", "line_no"), ["cui"], "line_no")
 
 
 def label_freq_view(spark: SparkSession, d: str) -> DataFrame:
-    return sinks.keep_last(table(spark, d, "labelfreq").filter("cui is not null").select("label", "cui", "cnt", "norm", "line_no"), ["label", "cui"], "line_no")
+    return sinks.keep_last(_with_concept(table(spark, d, "labelfreq")).select("label", "cui", "cnt", "norm", "line_no"), ["label", "cui"], "line_no")
 
 
 def atoms_view(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "mrconso").filter("cui is not null and str is not null")
+    return _with_concept(table(spark, d, "mrconso")).filter("str is not null")
 
 
-_ATOMS = "(SELECT * FROM mrconso WHERE cui IS NOT NULL AND str IS NOT NULL)"
-_TYPES = "(SELECT DISTINCT l.cui, s.tui, s.sty FROM labelinfo l JOIN semtypes s ON l.stys = s.sty WHERE l.cui IS NOT NULL)"
+_CUI = problem_queries.CLEAN.format("cui")
+_ATOMS = f"(SELECT * REPLACE ({_CUI} AS cui) FROM mrconso WHERE cui IS NOT NULL AND str IS NOT NULL)"
+_TYPES = "(" + " UNION ".join(f"SELECT l.cui, s.tui, s.sty FROM (SELECT {_CUI} AS cui, unnest({problem_queries.listed_sql(f, k, 'semtypes')}) AS v FROM labelinfo WHERE cui IS NOT NULL) l JOIN semtypes s ON v = s.{k}" for f, k in (("stys", "sty"), ("tuis", "tui"))) + ")"
 _KCX = f"(SELECT * FROM {_TYPES} WHERE sty IN (SELECT sty FROM semtypes WHERE tui <= 'T441'))"
-_last = lambda t, cols, keys: f"(SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY line_no DESC) AS rn FROM {t} WHERE cui IS NOT NULL) WHERE rn = 1)"
+_GROUPS = {"KCX": _KCX, "BMH": _TYPES}
+_last = lambda t, cols, keys: f"(SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY line_no DESC) AS rn FROM (SELECT * REPLACE ({_CUI} AS cui) FROM {t} WHERE cui IS NOT NULL)) WHERE rn = 1)"
 _CF, _PR, _LF = _last("cuifreq", "cui, cnt, norm", "cui"), _last("pagerank", "cui, prob", "cui"), _last("labelfreq", "label, cui, cnt, norm", "label, cui")
 _SCORED = (
     "(SELECT cui, substring(str, 1, 100) AS preflabel, ispref, vocabcount, vocabs, CAST(10 - 3 * (length(p) - length(translate(p, '-0123456789', ''))) + CASE WHEN ispref = 'Y' THEN 20 ELSE 0 END "
@@ -95,17 +97,42 @@ _SCORED = (
 )
 _BEST = f"(SELECT cui, preflabel, score, ispref, vocabcount, vocabs, maxscore, minlen FROM (SELECT *, CAST(min(length(preflabel)) OVER (PARTITION BY cui) AS INTEGER) AS minlen FROM (SELECT *, max(score) OVER (PARTITION BY cui) AS maxscore FROM {_SCORED}) WHERE score = maxscore) WHERE length(preflabel) = minlen)"
 _PREF = f"(SELECT cui, min(preflabel) AS pref FROM {_BEST} GROUP BY cui)"
-_INFO = (
-    "(SELECT t.cui, string_agg(DISTINCT t.tui, ',' ORDER BY t.tui) AS tuis, string_agg(DISTINCT t.sty, ',' ORDER BY t.sty) AS stys, min(p.pref) AS pref, string_agg(DISTINCT a.sab, ',' ORDER BY a.sab) AS vocabs, "
-    f"count(a.sab) AS vocabcount, min(f.cnt) AS crisfreq, min(f.norm) AS crisnorm, min(r.prob) AS pagerank FROM {_KCX} t LEFT JOIN {_PREF} p ON p.cui = t.cui LEFT JOIN {_CF} f ON f.cui = t.cui LEFT JOIN {_PR} r ON r.cui = t.cui LEFT JOIN mrconso a ON a.cui = t.cui AND a.str IS NOT NULL GROUP BY t.cui)"
-)
 _ACR = "(regexp_matches(a.str, '[a-zA-Z][A-Z]') AND a.str NOT LIKE '% %')"
-_LABELS = (
-    f"(SELECT DISTINCT CASE WHEN {_ACR} THEN a.str ELSE lower(a.str) END AS label, a.cui, i.stys, i.tuis, min(i.pref) AS pref, string_agg(DISTINCT a.sab, ',' ORDER BY a.sab) AS labelvocabs, min(i.vocabs) AS cuivocabs, "
-    "f.cnt AS crislabelcuifreq, f.norm AS crislabelcuinorm, min(i.crisfreq) AS criscuifreq, min(i.crisnorm) AS criscuinorm, min(i.pagerank) AS pagerank "
-    f"FROM {_ATOMS} a JOIN {_INFO} i ON a.cui = i.cui LEFT JOIN {_LF} f ON a.cui = f.cui AND a.str = f.label WHERE length(a.str) < 100 "
-    f"GROUP BY a.cui, CASE WHEN {_ACR} THEN a.str ELSE lower(a.str) END, {_ACR}, i.stys, i.tuis, f.cnt, f.norm)"
-)
+
+
+def _info_sql(group: str) -> str:
+    return (
+        "(SELECT t.*, p.pref, a.vocabs, t.k * coalesce(a.n, 0) AS vocabcount, f.cnt AS crisfreq, f.norm AS crisnorm, r.prob AS pagerank FROM "
+        f"(SELECT cui, string_agg(DISTINCT tui, ',' ORDER BY tui) AS tuis, string_agg(DISTINCT sty, ',' ORDER BY sty) AS stys, count(*) AS k FROM {_GROUPS[group]} GROUP BY cui) t "
+        f"LEFT JOIN {_PREF} p ON p.cui = t.cui LEFT JOIN {_CF} f ON f.cui = t.cui LEFT JOIN {_PR} r ON r.cui = t.cui "
+        f"LEFT JOIN (SELECT cui, string_agg(DISTINCT sab, ',' ORDER BY sab) AS vocabs, count(sab) AS n FROM {_ATOMS} GROUP BY cui) a ON a.cui = t.cui)"
+    )
+
+
+def _labels_sql(group: str) -> str:
+    return (
+        f"(SELECT DISTINCT CASE WHEN {_ACR} THEN a.str ELSE lower(a.str) END AS label, a.cui, i.stys, i.tuis, min(i.pref) AS pref, string_agg(DISTINCT a.sab, ',' ORDER BY a.sab) AS labelvocabs, min(i.vocabs) AS cuivocabs, "
+        "f.cnt AS crislabelcuifreq, f.norm AS crislabelcuinorm, min(i.crisfreq) AS criscuifreq, min(i.crisnorm) AS criscuinorm, min(i.pagerank) AS pagerank "
+        f"FROM {_ATOMS} a JOIN {_info_sql(group)} i ON a.cui = i.cui LEFT JOIN {_LF} f ON a.cui = f.cui AND a.str = f.label WHERE length(a.str) < 100 "
+        f"GROUP BY a.cui, CASE WHEN {_ACR} THEN a.str ELSE lower(a.str) END, {_ACR}, i.stys, i.tuis, f.cnt, f.norm)"
+    )
+
+
+def _number_sql(c: str) -> str:
+    """A double as the JVM prints it: a point and a digit behind it, powers of ten below a thousandth and from ten million."""
+    sign, x = f"CASE WHEN {c} < 0 THEN '-' ELSE '' END", f"abs({c})"
+    digits = f"rtrim(ltrim(replace(split_part(CAST({x} AS VARCHAR), 'e', 1), '.', ''), '0'), '0')"
+    power = f"CAST(floor(log10({x}) + 1e-12) AS INTEGER)"
+    plain = f"CASE WHEN contains(CAST({x} AS VARCHAR), '.') THEN CAST({x} AS VARCHAR) ELSE CAST({x} AS VARCHAR) || '.0' END"
+    return f"CASE WHEN {c} IS NULL THEN 'null' WHEN {c} = 0 THEN '0.0' WHEN {x} >= 0.001 AND {x} < 1e7 THEN {sign} || {plain} ELSE {sign} || {digits}[1:1] || '.' || CASE WHEN length({digits}) > 1 THEN {digits}[2:] ELSE '0' END || 'E' || {power} END"
+
+
+def _json_sql(group: str) -> str:
+    def value(c: str, name: str) -> str:
+        return _number_sql(c) if name.startswith("sc") and not name.endswith("Freq") else f"coalesce(CAST(to_json({c}) AS VARCHAR), 'null')"
+
+    fields = " || ',' || ".join(f"'\"{name}\":' || {value(c, name)}" for c, name in candidates.NAMES.items())
+    return f"SELECT label, '[' || string_agg(j, ',' ORDER BY cui, j) || ']' AS info FROM (SELECT label, cui, '{{' || {fields} || '}}' AS j FROM {_labels_sql(group)}) GROUP BY label HAVING sum(length(j)) + count(*) + 1 < {candidates.LIMIT}"
 
 
 # ALG-01 to ALG-04 ------------------------------------------------------------------------------------------------------------------
@@ -126,35 +153,34 @@ def preferred_label(spark, d):
     return labels.preferred(atoms_view(spark, d))
 
 
-def _info(spark, d, view=types, group="KCX") -> DataFrame:
-    return concepts.concept_info(concepts.selected_types(view(spark, d), groups(spark, d), group), atoms_view(spark, d), freq_view(spark, d), rank_view(spark, d))
+def _both(name: str, make: Callable[[SparkSession, str, str], DataFrame], sql: Callable[[str], str]) -> None:
+    """A query for the group KCX, and the same ending in _bmh for the group BMH, which keeps the most frequent concepts."""
+    for suffix, group in (("", "KCX"), ("_bmh", "BMH")):
+        _QUERIES[name + suffix] = lambda s, d, g=group: make(s, d, g)
+        _SQL[name + suffix] = sql(group)
 
 
-@query(f"SELECT * FROM {_INFO}")
-def concept_info(spark, d):
-    return _info(spark, d)
+def _selected(spark, d, group) -> DataFrame:
+    return concepts.selected_types(types(spark, d), groups(spark, d), group)
 
 
-def _labels(spark, d, view=types, group="KCX") -> DataFrame:
-    return concepts.label_info(atoms_view(spark, d), _info(spark, d, view, group), label_freq_view(spark, d))
+def _info(spark, d, group) -> DataFrame:
+    return concepts.concept_info(_selected(spark, d, group), atoms_view(spark, d), freq_view(spark, d), rank_view(spark, d))
 
 
-@query(f"SELECT * FROM {_LABELS}")
-def label_info(spark, d):
-    return _labels(spark, d)
+def _labels(spark, d, group) -> DataFrame:
+    return concepts.label_info(atoms_view(spark, d), _info(spark, d, group), label_freq_view(spark, d))
 
 
-@query()
-def label_candidates_json(spark, d):
-    return candidates.label_candidates(staged(_labels(spark, d, listed_types)))
-
-
-@query(
-    f"SELECT label, cui, stys, tuis, pref, labelvocabs, cuivocabs, crislabelcuifreq, crislabelcuinorm, criscuifreq, criscuinorm, pagerank FROM {_LABELS}"
-)
-def label_candidates_back(spark, d):
-    """The JSON arrays read back into rows: the same as label info, since no array here reaches the limit."""
-    return candidates.read_candidates(candidates.label_candidates(staged(_labels(spark, d)))).drop("pos")
+_both("semantic_group_filter", _selected, lambda g: f"SELECT * FROM {_GROUPS[g]}")
+_both("concept_info", _info, lambda g: f"SELECT cui, tuis, stys, pref, vocabs, vocabcount, crisfreq, crisnorm, pagerank FROM {_info_sql(g)}")
+_both("label_info", _labels, lambda g: f"SELECT * FROM {_labels_sql(g)}")
+_both("label_candidates_json", lambda s, d, g: candidates.label_candidates(staged(_labels(s, d, g))), _json_sql)
+# the arrays read back into rows are label info again, but for the labels whose array reaches the limit
+_both(
+    "label_candidates_back", lambda s, d, g: candidates.read_candidates(candidates.label_candidates(staged(_labels(s, d, g)))).drop("pos"),
+    lambda g: f"SELECT * FROM {_labels_sql(g)} WHERE label IN (SELECT label FROM ({_json_sql(g)}))",
+)
 
 
 @query("SELECT line_no, label FROM labelinfo_json WHERE length(info) < 65536")
@@ -248,9 +274,41 @@ def ppr_graph_text(spark, d):
     return sinks.graph_lines(cooccurrence_weights(spark, d), "l_partkey", "l_suppkey", "weight")
 
 
-@query()
+def _named(c: str):
+    return F.concat(F.lit(c[2:3]), F.col(c).cast("string"))
+
+
+_WEIGHTS = "(SELECT 'p' || l_partkey AS a, 's' || l_suppkey AS b, CAST(sum(CAST(l_quantity AS INTEGER)) AS DOUBLE) AS w FROM lineitem GROUP BY 1, 2 HAVING sum(CAST(l_quantity AS INTEGER)) > 1)"
+_ROUND = "(SELECT n.node, 0.15 / (SELECT count(*) FROM nodes) + 0.85 * coalesce(x.p, 0) AS p FROM nodes n LEFT JOIN (SELECT t AS node, sum(r.p * e.w) AS p FROM e JOIN {} r ON e.s = r.node GROUP BY t) x USING (node))"
+
+
+@query(
+    f"WITH g AS MATERIALIZED (SELECT a AS s, b AS t, w FROM {_WEIGHTS} UNION ALL SELECT b, a, w FROM {_WEIGHTS}), e AS MATERIALIZED (SELECT s, t, w / sum(w) OVER (PARTITION BY s) AS w FROM g), nodes AS MATERIALIZED (SELECT DISTINCT s AS node FROM e), "
+    "r0 AS MATERIALIZED (SELECT node, 1.0 / (SELECT count(*) FROM nodes) AS p FROM nodes), " + ", ".join(f"r{k} AS MATERIALIZED {_ROUND.format(f'r{k - 1}')}" for k in range(1, 31)) + " SELECT node, round(p / (SELECT sum(p) FROM r30), 9) AS prob FROM r30"
+)
 def static_pagerank(spark, d):
-    return graph.page_rank(table(spark, d, "mrcui"), "cui1", "cui2")
+    """Ranks of the co-occurrence graph, to nine decimals."""
+    w = cooccurrence_weights(spark, d).select(_named("l_partkey").alias("a"), _named("l_suppkey").alias("b"), "weight")
+    return graph.page_rank(w, "a", "b", "weight", both_ways=True).select("node", F.round("prob", 9).alias("prob"))
+
+
+_IDS = "(SELECT node, row_number() OVER (ORDER BY k) - 1 AS id FROM (SELECT node, min(k) AS k FROM (SELECT 'p' || l_partkey AS node, (l_partkey * 1000000 + l_suppkey) * 2 AS k FROM r UNION ALL SELECT 's' || l_suppkey, (l_partkey * 1000000 + l_suppkey) * 2 + 1 FROM r) GROUP BY node))"
+_CHUNKS = "SELECT {0} AS node, (row_number() OVER (PARTITION BY {0} ORDER BY {1}) - 1) // 5 AS chunk_no, n || ':' || {1} AS edge, {1} AS other FROM x"
+
+
+@query(
+    f"WITH r AS MATERIALIZED {_REL}, ids AS MATERIALIZED {_IDS}, x AS MATERIALIZED (SELECT i.id AS a, j.id AS b, n FROM r JOIN ids i ON i.node = 'p' || l_partkey JOIN ids j ON j.node = 's' || l_suppkey) "
+    + " UNION ALL ".join(f"SELECT '{way}' AS way, node, chunk_no, string_agg(edge, ' ' ORDER BY other) AS edges FROM ({_CHUNKS.format(*ends)}) GROUP BY node, chunk_no" for way, ends in (("out", "ab"), ("in", "ba")))
+)
+def graph_file(spark, d):
+    """Relation counts as a graph of numbered nodes: written in both directions, in lists of at most five edges, and read back."""
+    r = staged(relation_counts(spark, d).select(_named("l_partkey").alias("a"), _named("l_suppkey").alias("b"), "n", (F.col("l_partkey").cast("long") * 1_000_000 + F.col("l_suppkey")).alias("at")))
+    ids = staged(graph.node_ids(r, "a", "b", "at"))
+    e = staged(graph.with_ids(r.select("a", "b", "n"), ids, "a", "b"))
+    at = _place(spark)
+    sinks.write_graph(ids, graph.adjacency(e, "a", "b", "n", 5), graph.adjacency(e, "b", "a", "n", 5), at)
+    way = lambda name, c: spark.read.parquet(f"{at}/{name}").select(F.lit(name).alias("way"), F.col(c).alias("node"), "chunk_no", _as_text("edges").alias("edges"))
+    return way("out", "a").unionByName(way("in", "b"))
 
 
 @query(
@@ -263,43 +321,38 @@ def superclass_closure(spark, d):
 # Gazetteer and exports -------------------------------------------------------------------------------------------------------------
 
 
-def _gazetteer(spark, d, view=types, group="KCX") -> DataFrame:
-    return pipelines.gazetteer(atoms_view(spark, d), view(spark, d), groups(spark, d), table(spark, d, "language_codes"), group, ("en", "de"))
+def _gazetteer(spark, d, group) -> DataFrame:
+    return pipelines.gazetteer(atoms_view(spark, d), types(spark, d), groups(spark, d), table(spark, d, "language_codes"), group, ("en", "de"))
 
 
-_GAZ = f"(SELECT DISTINCT a.str FROM {_ATOMS} a WHERE a.cui IN (SELECT cui FROM {_KCX}) AND a.lat IN (SELECT umlslabel FROM language_codes WHERE iso6391 IN ('en', 'de')))"
+def _gaz_sql(group: str) -> str:
+    return f"(SELECT DISTINCT a.str FROM {_ATOMS} a WHERE a.cui IN (SELECT cui FROM {_GROUPS[group]}) AND a.lat IN (SELECT umlslabel FROM language_codes WHERE iso6391 IN ('en', 'de')))"
 
 
-@query(f"SELECT str FROM {_GAZ} WHERE NOT regexp_matches(str, '\\s') AND regexp_matches(str, '[a-zA-Z][A-Z]') ORDER BY str")
-def gazetteer_cased(spark, d):
-    return pipelines.cased(_gazetteer(spark, d)).orderBy("str")
+_both("gazetteer_cased", lambda s, d, g: pipelines.cased(_gazetteer(s, d, g)).orderBy("str"), lambda g: f"SELECT str FROM {_gaz_sql(g)} WHERE NOT regexp_matches(str, '\\s') AND regexp_matches(str, '[a-zA-Z][A-Z]') ORDER BY str")
+_both(
+    "gazetteer_uncased", lambda s, d, g: pipelines.uncased(_gazetteer(s, d, g)),
+    lambda g: f"SELECT str, CASE WHEN contains(str, ' ') THEN 0 ELSE 1 END AS part FROM {_gaz_sql(g)} WHERE contains(str, ' ') OR (NOT regexp_matches(str, '[\\t\\n\\x0b\\f\\r ]') AND NOT regexp_matches(str, '[a-zA-Z][A-Z]'))",
+)
 
 
-@query(
-    f"SELECT str, CASE WHEN contains(str, ' ') THEN 0 ELSE 1 END AS part FROM {_GAZ} WHERE contains(str, ' ') OR (NOT regexp_matches(str, '[\\t\\n\\x0b\\f\\r ]') AND NOT regexp_matches(str, '[a-zA-Z][A-Z]'))"
-)
-def gazetteer_uncased(spark, d):
-    return pipelines.uncased(_gazetteer(spark, d))
+def _abstracts(spark, d, group) -> DataFrame:
+    return pipelines.abstracts(_with_concept(table(spark, d, "documents")).select("doc_id", "cui", F.col("text").alias("def")), _selected(spark, d, group), "doc_id")
 
 
-def _abstracts(spark, d, view=types, group="KCX") -> DataFrame:
-    defs = table(spark, d, "documents").select("cui", F.col("text").alias("def"))
-    return pipelines.abstracts(defs, concepts.selected_types(view(spark, d), groups(spark, d), group))
+_both("abstracts_export", _abstracts, lambda g: f"SELECT x.cui, replace(x.text, chr(9), '&#x0009;') AS def FROM (SELECT * REPLACE ({_CUI} AS cui) FROM documents WHERE cui IS NOT NULL) x JOIN {_GROUPS[g]} t ON x.cui = t.cui")
 
 
-@query(f"SELECT x.cui, replace(x.text, chr(9), '&#x0009;') AS def FROM documents x JOIN {_KCX} t ON x.cui = t.cui")
-def abstracts_export(spark, d):
-    return _abstracts(spark, d)
+def _dictionary_sql(group: str) -> str:
+    return f"SELECT str, string_agg(DISTINCT cui, ',' ORDER BY cui) AS cuis FROM {_ATOMS} WHERE cui IN (SELECT cui FROM {_GROUPS[group]}) GROUP BY str"
 
 
-@query("SELECT str, string_agg(DISTINCT cui, ',' ORDER BY cui) AS cuis FROM mrconso WHERE str IS NOT NULL GROUP BY str")
-def dictionary(spark, d):
-    return table(spark, d, "mrconso").filter("str is not null").groupBy("str").agg(concepts.comma_list("cui").alias("cuis"))
+def _dictionary(spark, d, group) -> DataFrame:
+    return concepts.dictionary(atoms_view(spark, d), _selected(spark, d, group))
 
 
-@query("SELECT replace(str, ' ', '_') || ' ' || replace(cuis, ',', ' ') AS value FROM (SELECT str, string_agg(DISTINCT cui, ',' ORDER BY cui) AS cuis FROM mrconso WHERE str IS NOT NULL GROUP BY str) WHERE cuis IS NOT NULL")
-def dictionary_text(spark, d):
-    return sinks.dictionary_lines(dictionary(spark, d), "str", "cuis")
+_both("dictionary", _dictionary, _dictionary_sql)
+_both("dictionary_text", lambda s, d, g: sinks.dictionary_lines(_dictionary(s, d, g), "str", "cuis"), lambda g: f"SELECT replace(str, ' ', '_') || ' ' || replace(cuis, ',', ' ') AS value FROM ({_dictionary_sql(g)}) WHERE cuis IS NOT NULL")
 
 
 @query("SELECT doc_id, i[-4:-3] || '/' || i[-2:] || '.finf' AS path FROM (SELECT doc_id, '0000' || doc_id AS i FROM documents)")
@@ -345,25 +398,6 @@ def language_filter(spark, d):
     return pipelines.in_languages(table(spark, d, "mrconso"), table(spark, d, "language_codes"), ("en", "hr", "sr", "zh")).select("line_no", "lat")
 
 
-@query(f"SELECT * FROM {_KCX}")
-def semantic_group_filter(spark, d):
-    return concepts.selected_types(types(spark, d), groups(spark, d), "KCX")
-
-
-# The same over every listed type, of which SQL can't split the lists: by group, as BMH keeps the most frequent concepts
-_LISTED = {
-    "concept_info": _info,
-    "label_info": _labels,
-    "label_candidates_json": lambda s, d, v, g: candidates.label_candidates(staged(_labels(s, d, v, g))),
-    "label_candidates_back": lambda s, d, v, g: candidates.read_candidates(candidates.label_candidates(staged(_labels(s, d, v, g)))).drop("pos"),
-    "gazetteer_cased": lambda s, d, v, g: pipelines.cased(_gazetteer(s, d, v, g)).orderBy("str"),
-    "gazetteer_uncased": lambda s, d, v, g: pipelines.uncased(_gazetteer(s, d, v, g)),
-    "abstracts_export": _abstracts,
-    "semantic_group_filter": lambda s, d, v, g: concepts.selected_types(v(s, d), groups(s, d), g),
-}
-_QUERIES |= {f"{name}_{group.lower()}": lambda s, d, f=f, g=group: f(s, d, listed_types, g) for name, f in _LISTED.items() for group in ("KCX", "BMH")}
-
-
 @query("SELECT line_no, str FROM mrconso WHERE regexp_matches(str, '[a-zA-Z][A-Z]') AND str NOT LIKE '% %'")
 def acronym_labels(spark, d):
     return table(spark, d, "mrconso").filter(fl.is_acronym(F.col("str"))).select("line_no", "str")
@@ -530,7 +564,7 @@ def disambiguate(spark, d):
     "SELECT c.line_no, c.cui, CASE WHEN u.cui IS NULL THEN c.prob ELSE u.norm END AS prob FROM pagerank c LEFT JOIN (SELECT cui, arg_max(CASE WHEN norm IS NULL THEN [] ELSE [norm] END, line_no)[1] AS norm FROM cuifreq WHERE cui IS NOT NULL GROUP BY 1) u ON c.cui = u.cui"
 )
 def update_by_key(spark, d):
-    return lookup.update_by_key(table(spark, d, "pagerank").select("line_no", "cui", "prob"), "cui", "prob", table(spark, d, "cuifreq"), "cui", "norm", "line_no")
+    return lookup.update_by_key(table(spark, d, "pagerank").select("line_no", "cui", "prob"), "cui", "prob", table(spark, d, "cuifreq"), "cui", "norm", "line_no", "line_no")
 
 
 @query("SELECT cui, label, line_no FROM (SELECT cui, label, line_no, row_number() OVER (PARTITION BY cui ORDER BY line_no) AS rn FROM labelinfo) WHERE rn = 1")
@@ -612,15 +646,28 @@ def group_max(spark, d):
     return labels.with_group_max(table(spark, d, "preferredlabels").filter("cui is not null").select("line_no", "cui", "score"), ["cui"], "score", "best", "line_no")
 
 
-@query()
+@query(
+    "WITH RECURSIVE m AS (SELECT cui1 AS a, min(cui2) AS b FROM mrcui WHERE cui2 IS NOT NULL GROUP BY 1), c AS (SELECT a, b FROM m UNION SELECT c.a, m.b FROM c JOIN m ON c.b = m.a), "
+    "e AS (SELECT c.a, coalesce(min(CASE WHEN m.a IS NULL THEN c.b END), min(l.b)) AS b FROM c LEFT JOIN m ON c.b = m.a LEFT JOIN c l ON l.a = l.b AND l.b = c.b GROUP BY 1), "
+    "x AS (SELECT line_no, label, trim(cui) AS k FROM labelfreq WHERE trim(coalesce(cui, '')) <> ''), y AS (SELECT line_no, label, coalesce(b, k) AS k FROM x LEFT JOIN e ON k = a) "
+    "SELECT line_no, label, CASE WHEN k IN (SELECT cui1 FROM mrcui WHERE rel = 'DEL') THEN '' ELSE k END AS cui FROM y WHERE NOT contains(k, '\\u')"
+)
 def uri_canonical(spark, d):
     """References moved to the end of their chain of redirects; concepts that have no canonical form are left empty."""
     moved = lookup.closed_redirects(_moved(spark, d).select(F.col("cui1").alias("from_uri"), F.col("cui2").alias("to_uri")))
     gone = table(spark, d, "mrcui").filter("rel = 'DEL'").select(F.col("cui1").alias("from_uri"))
-    return uris.canonical(_refs(spark, d), "cui", redirects=moved, disambiguations=gone)
+    return uris.canonical(_refs(spark, d), "cui", redirects=moved, disambiguations=gone, unique="line_no")
 
 
-@query()
+@query(
+    "WITH RECURSIVE sub AS (SELECT DISTINCT 'dbpo:' || p_size AS a, 'dbpo:' || (p_size // 2) AS b FROM part WHERE p_size > 1), same AS (SELECT p_brand AS a, min('dbpo:' || p_size) AS b FROM part GROUP BY 1), eq AS (SELECT a, b FROM same UNION SELECT b, a FROM same), "
+    "own AS (SELECT c, c AS e FROM (SELECT a AS c FROM sub UNION SELECT b FROM sub UNION SELECT a FROM eq) UNION SELECT a, b FROM eq), i AS (SELECT * FROM (VALUES (0, 'dbpo:2'), (1, 'dbpo:3')) v(k, v)), "
+    "canon AS (SELECT * FROM (SELECT c, coalesce(arg_min(i.v, i.k), min(CASE WHEN starts_with(e, 'dbpo:') THEN e END)) AS u FROM own LEFT JOIN i ON e = i.v AND e <> c GROUP BY c) WHERE u IS NOT NULL), "
+    "up AS (SELECT a, b FROM sub UNION SELECT up.a, sub.b FROM up JOIN sub ON up.b = sub.a), above AS (SELECT DISTINCT up.a AS c, canon.u AS bu FROM up JOIN canon ON up.b = canon.c WHERE up.a <> up.b), "
+    "firsts AS (SELECT c, arg_min(i.v, i.k) AS v FROM (SELECT c, u AS bu FROM canon UNION SELECT c, bu FROM above) LEFT JOIN i ON bu = i.v GROUP BY c) "
+    "SELECT 'map:hasCanonicalUri' AS property, c AS orig, u AS mapped FROM canon UNION SELECT 'map:hasInterestingClass', u, coalesce(v, 'owl:Thing') FROM canon JOIN firsts USING (c) "
+    "UNION SELECT 'map:hasSuperClass', u, bu FROM canon JOIN above USING (c) WHERE u <> bu UNION SELECT 'map:hasSuperClass', u, 'owl:Thing' FROM canon"
+)
 def ontology_mapping(spark, d):
     """The size tree as an ontology: every size is a class below its half; brands are equivalent names."""
     name = lambda c: F.concat(F.lit("dbpo:"), F.col(c).cast("string"))
@@ -642,7 +689,19 @@ def label_uri_info_merge(spark, d):
     return classes.merge_label_info(lf, ["label", "cui"], ["writer", "release"], "line_no")
 
 
-@query()
+_FOLD = (
+    "WITH RECURSIVE h AS (SELECT DISTINCT CAST(p_size AS VARCHAR) AS a, CAST(p_size // 2 AS VARCHAR) AS b FROM part WHERE p_size > 1), up AS (SELECT a, b FROM h UNION SELECT up.a, h.b FROM up JOIN h ON up.b = h.a), "
+    "x AS (SELECT p_brand AS uri, c, CASE WHEN c <= '3' THEN c ELSE '' END AS w, row_number() OVER (PARTITION BY p_brand ORDER BY min(p_partkey), c) AS i FROM (SELECT p_brand, p_partkey, CAST(p_size AS VARCHAR) AS c FROM part) GROUP BY p_brand, c), "
+    "y AS (SELECT x.*, coalesce(u.l, []) AS above, coalesce(v.l, []) AS below FROM x LEFT JOIN (SELECT a, list(b) AS l FROM up GROUP BY 1) u ON u.a = c LEFT JOIN (SELECT b, list(a) AS l FROM up GROUP BY 1) v ON v.b = c), "
+    "f AS (SELECT uri, i, [c] AS s, CASE WHEN w = '' THEN CAST([] AS VARCHAR[]) ELSE [w] END AS t FROM y WHERE i = 1 UNION ALL "
+    "SELECT uri, i, CASE WHEN p = 0 THEN list_append(s, c) WHEN stay THEN s ELSE list_concat(list_append(s[1:p - 1], c), s[p + 1:]) END, CASE WHEN stay OR w = '' OR list_contains(t, w) THEN t ELSE list_append(t, w) END FROM "
+    "(SELECT q.*, p > 0 AND (s[p] = c OR list_contains(below, s[p])) AS stay FROM (SELECT f.uri, y.i, f.s, f.t, y.c, y.w, y.below, "
+    "coalesce(list_position(list_transform(f.s, lambda e: e = y.c OR list_contains(y.below, e) OR list_contains(y.above, e)), true), 0) AS p FROM f JOIN y ON f.uri = y.uri AND y.i = f.i + 1) q)) "
+    "SELECT uri, array_to_string(arg_max(s, i), '|') AS specific, array_to_string(arg_max(t, i), '|') AS interesting FROM f GROUP BY uri"
+)
+
+
+@query(_FOLD)
 def specific_class_fold(spark, d):
     """Sizes as classes, each below its half: every brand keeps its most specific sizes, in the order of its parts."""
     part = table(spark, d, "part").select(F.col("p_brand").alias("uri"), F.col("p_size").cast("string").alias("cls"), F.col("p_partkey").alias("line_no"))

@@ -51,6 +51,18 @@ def staged(df: DataFrame) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``df`` written once to the shared folder, hash-partitioned by ``cols`` into as many buckets as shuffles have partitions.
+
+    Joins and aggregations on ``cols`` then read it without a shuffle, however often it is read. The files go when the program ends.
+    """
+    spark = df.sparkSession
+    path, name = shared_path(spark), f"termweave_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, *cols).write.bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def small(df: DataFrame) -> bool:
     """Whether a staged frame may be broadcast: its files, taken to be compressed four times, are within Spark's own threshold."""
     spark = df.sparkSession

@@ -60,6 +60,13 @@ def graph_lines(edges: DataFrame, src: str, dst: str, weight: str) -> DataFrame:
     return ok.select(F.concat(F.lit("u:"), F.col(src).cast("string"), F.lit(" v:"), F.col(dst).cast("string"), F.lit(" w:"), F.col(weight).cast("string")).alias("value"))
 
 
+def write_graph(ids: DataFrame, outgoing: DataFrame, incoming: DataFrame, path: str) -> None:
+    """A graph as three tables: nodes (node, id), out and in (id, chunk_no, edges as arrays of count and id), the latter sorted by node."""
+    write_table(ids, f"{path}/nodes")
+    write_table(outgoing, f"{path}/out")
+    write_table(incoming, f"{path}/in")
+
+
 def dictionary_lines(df: DataFrame, head: str, items: str) -> DataFrame:
     """``head_word item item``: blanks of the head become ``_``, commas between items become blanks."""
     return df.dropna(subset=[head, items]).select(F.concat_ws(" ", F.replace(head, F.lit(" "), F.lit("_")), F.replace(items, F.lit(","), F.lit(" "))).alias("value"))

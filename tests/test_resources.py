@@ -183,7 +183,7 @@ def test_lookups(spark, rows):
     assert rows(lookup.redirects(df, "k", kv, "key", "val", "n", "i")) == [(1, "y", "redir"), (2, "b", "nonredir"), (3, None, "nonredir"), (4, "y", "redir")]
     assert lookup.redirects(df, "k", kv, "key", "val", "n", "i", add=True).count() == 6 and lookup.redirects(df, "k", kv, "key", "val", "n", "i", info=False).columns == ["i", "k"]
     assert rows(lookup.disambiguations(df, "k", kv, "key", "val", "i"))[-2:] == [(4, "x", "disamb"), (4, "y", "disamb")]
-    up = lookup.update_by_key(df.withColumn("v", F.lit("old")), "k", "v", kv, "key", "val", "n")
+    up = lookup.update_by_key(df.withColumn("v", F.lit("old")), "k", "v", kv, "key", "val", "n", "i")
     assert rows(up) == [(1, "a", "x"), (2, "b", "old"), (3, None, "old"), (4, "a", "x")]
 
 
@@ -300,7 +300,7 @@ def test_pipeline_filters(spark, rows):
     g = pipelines.gazetteer(atoms, types, groups, lang, "G", ("en", "hr"))
     assert rows(pipelines.cased(g)) == [("ABc",)] and rows(pipelines.uncased(g)) == [("two words", 0), ("x", 1)]
     defs = spark.createDataFrame([("C1", "a\tb")], "cui string, def string")
-    assert rows(pipelines.abstracts(defs, types)) == [("C1", "a&#x0009;b")] * 2
+    assert rows(pipelines.abstracts(defs, types, "def")) == [("C1", "a&#x0009;b")] * 2
 
 
 def test_run_all(spark, tmp_path):
