@@ -31,9 +31,11 @@ def listed_sql(field: str, value: str, of: str) -> str:
 # Problem 1 -------------------------------------------------------------------------------------------------------------------------
 
 
-def parsed_lines(spark: SparkSession, d: str) -> DataFrame:
+def parsed_lines(spark: SparkSession, d: str, fil: str | None = None) -> DataFrame:
+    """All lines parsed, or those of one file: others are left out before they reach the reader."""
     langs, vocabs = fixed_values(table(spark, d, "language_codes"), "umlslabel"), fixed_values(table(spark, d, "vocabularies"), "rsab")
-    return rejects.parse_lines(table(spark, d, "rrf_lines").select("line_no", "fil", "rawline", "umlsversion"), langs, vocabs)
+    lines = table(spark, d, "rrf_lines").select("line_no", "fil", "rawline", "umlsversion")
+    return rejects.parse_lines(lines.filter(F.col("fil") == fil) if fil else lines, langs, vocabs)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -51,15 +53,15 @@ def p1_reject_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_mrconso(spark: SparkSession, d: str) -> DataFrame:
-    return rejects.typed_rows(parsed_lines(spark, d), "MRCONSO.RRF")
+    return rejects.typed_rows(parsed_lines(spark, d, "MRCONSO.RRF"), "MRCONSO.RRF")
 
 
 def p1_mrcols(spark: SparkSession, d: str) -> DataFrame:
-    return rejects.typed_rows(parsed_lines(spark, d), "MRCOLS.RRF")
+    return rejects.typed_rows(parsed_lines(spark, d, "MRCOLS.RRF"), "MRCOLS.RRF")
 
 
 def p1_mrsab(spark: SparkSession, d: str) -> DataFrame:
-    return rejects.typed_rows(parsed_lines(spark, d), "MRSAB.RRF")
+    return rejects.typed_rows(parsed_lines(spark, d, "MRSAB.RRF"), "MRSAB.RRF")
 
 
 _FIELD = r'("(?:[^"]|"")*"|[^"|][^|]*|)\|'
@@ -90,6 +92,15 @@ def _typed_sql(name: str) -> str:
 
 _BAD = " UNION ALL ".join(f"SELECT line_no FROM {_lines_sql(n)} WHERE NOT ok OR {_rules_sql(n)} IS NOT NULL" for n in rejects.FORMATS)
 
+def _reasons_sql(name: str) -> str:
+    """Lines whose fields are cut well but too few, too many or not closed have a wrong column count; others have broken quoting."""
+    line = r"regexp_replace(raw, '\r\z', '')"
+    return (
+        f"SELECT line_no, '{name}' AS fil, CASE WHEN ok THEN {_rules_sql(name)} WHEN regexp_full_match({line}, '(?s)({_FIELD})*([^\"|][^|]*)?') THEN 'column count' ELSE 'broken quoting' END AS reason, raw AS rawline "
+        f"FROM {_lines_sql(name)} JOIN (SELECT line_no AS n, rawline AS raw FROM rrf_lines) ON n = line_no WHERE NOT ok OR {_rules_sql(name)} IS NOT NULL"
+    )
+
+
 # Problem 3 -------------------------------------------------------------------------------------------------------------------------
 
 LISTS = ("stys", "tuis", "labelvocabs", "cuivocabs")
@@ -209,6 +220,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": _BAD,
+        "p1_rejects": " UNION ALL ".join(_reasons_sql(n) for n in rejects.FORMATS),
         "p1_reject_counts": f"SELECT fil, umlsversion, count(*) AS n_lines, count(b.line_no) AS n_rejected FROM rrf_lines LEFT JOIN ({_BAD}) b USING (line_no) GROUP BY 1, 2",
         "p1_mrconso": _typed_sql("MRCONSO.RRF"), "p1_mrcols": _typed_sql("MRCOLS.RRF"), "p1_mrsab": _typed_sql("MRSAB.RRF"),
         "p3_found": f"SELECT * FROM {_LISTED}", "p3_value_counts": f"SELECT fld, val, count(*) AS n, max(pos) AS max_pos FROM {_LISTED} GROUP BY 1, 2",
