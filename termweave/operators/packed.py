@@ -3,7 +3,10 @@
 In a parsing expression grammar a choice is ordered and final: the first alternative that matches is taken. That is what an atomic
 group does in a regular expression, so each rule below becomes ``(?>first|second|...)`` and each repetition is possessive.
 
-    list    <- '['? (value / separator)* ']'?
+    list    <- (bracketed / open? value closed? / separator)*
+    bracketed <- '[' (value / separator)* ']' &end       (quotes inside may hold brackets; if they are malformed, any text but brackets)
+    open    <- '['                                               (backtracking: the bracket closes nowhere)
+    closed  <- ']'                                               (a bracket that was never opened)
     value   <- quoted / known / bare / stray
     quoted  <- '"' ('""' / [^"])* '"' &end   /   the same with '
     known   <- one of the known values, longest first, &end      (these may hold separators)
@@ -47,32 +50,53 @@ class ListGrammar:
         rules += [*own, "[\"']++(?>" + "|".join(own) + ")?+"]
         return "(?>" + "|".join(rules) + ")"
 
+    def outer(self) -> str:
+        """Bracketed lists as they are, other values with a bracket that has no partner."""
+        sep = self._cls()
+        end = rf"(?=\s*(?:[{sep}\]]|$))" if not self.blanks else rf"(?=\s|[{sep}\]]|$)"
+        whole = rf"\[(?>\"[^\"]*+\"|'[^']*+'|[^\[\]\"'])*+\]{end}|\[[^\[\]]*+\]{end}"
+        return rf"(?>{whole}|(?:\[\s*+)?+{self.pattern()}(?:\s*+\])?+)"
+
 
 def parse_list(c: Column, g: ListGrammar) -> Column:
     """Array of (pos, val, how, error) of the values in ``c``; empty pieces are left out and not counted.
 
-    Null and empty text give an empty array. how: quoted, bracketed or bare. error: ``stray_quote`` for a value that has a quote at one end
-    only, ``unknown_value`` if known values are given and this is none, else null. A stray opening quote is no part of the value.
+    Null and empty text give an empty array. how: quoted, bracketed (bare in a bracketed list) or bare. error: ``stray_quote`` for a value that
+    has a quote at one end only, ``open_bracket`` or ``stray_bracket`` for one behind or before a bracket without partner, ``unknown_value`` if
+    known values are given and this is none, else null; of several the first of these. Stray marks are no part of the value.
     """
-    tokens = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(g.pattern()), F.lit(0))
-    bracketed = F.ltrim(F.coalesce(c, F.lit(""))).startswith("[")
+    c = F.coalesce(c, F.lit(""))
+    tokens = F.regexp_extract_all(c, F.lit(g.outer()), F.lit(0))
     known = F.array(*[F.lit(v) for v in g.known]) if g.known else None
+    inner = lambda t: F.regexp_extract_all(t.substr(F.lit(2), F.length(t) - 2), F.lit(g.pattern()), F.lit(0))
+
+    def split(t: Column) -> Column:
+        opens, closes = t.startswith("["), t.endswith("]")
+        single = F.struct(F.regexp_replace(t, r"^\[\s*|\s*\]$", "").alias("t"), F.lit(False).alias("in"), F.when(opens, "open_bracket").when(closes, "stray_bracket").alias("b"))
+        return F.when(opens & closes & (F.length(t) > 1), F.transform(inner(t), lambda x: F.struct(x.alias("t"), F.lit(True).alias("in"), F.lit(None).cast("string").alias("b")))).otherwise(F.array(single))
+
+    # most fields hold no bracket, and their values are the tokens
+    plain = F.transform(tokens, lambda t: F.struct(t.alias("t"), F.lit(False).alias("in"), F.lit(None).cast("string").alias("b")))
+    items = F.when(c.contains("[") | c.contains("]"), F.flatten(F.transform(tokens, split))).otherwise(plain)
 
-    def one(t: Column) -> Column:
+    def one(x: Column) -> Column:
+        t = x["t"]
         q = F.substring(t, 1, 1)
         opens = q.isin('"', "'")
         closed = opens & (F.length(t) >= 2) & (F.substring(t, -1, 1) == q)
         inside = F.replace(t.substr(F.lit(2), F.length(t) - 2), F.concat(q, q), q)
         text = F.when(closed, inside).when(opens, F.regexp_replace(t, "^[\"']+", "")).otherwise(t)
         stray = (opens & ~closed) | (~opens & F.substring(F.rtrim(t), -1, 1).isin('"', "'"))
-        return F.struct(F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "").alias("val"), F.when(bracketed, "bracketed").when(closed, "quoted").otherwise("bare").alias("how"), stray.alias("stray"))
+        return F.struct(
+            F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "").alias("val"), F.when(closed, "quoted").when(x["in"], "bracketed").otherwise("bare").alias("how"), F.when(stray, "stray_quote").otherwise(x["b"]).alias("error")
+        )
 
-    kept = F.filter(F.transform(tokens, one), lambda v: v["val"] != "")
+    kept = F.filter(F.transform(items, one), lambda v: v["val"] != "")
 
     def flagged(v: Column, i: Column) -> Column:
-        error = F.when(v["stray"], "stray_quote")
+        error = v["error"]
         if known is not None:
-            error = error.when(~F.array_contains(known, v["val"]), "unknown_value")
+            error = F.coalesce(error, F.when(~F.array_contains(known, v["val"]), "unknown_value"))
         return F.struct((i + 1).alias("pos"), v["val"].alias("val"), v["how"].alias("how"), error.alias("error"))
 
     return F.transform(kept, flagged)

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from termweave.operators.packed import ListGrammar, parse_list, unpack
@@ -25,7 +26,28 @@ def test_phrases(spark):
 def test_flags_and_positions(spark):
     assert values(spark, '"Mood Finding"|Other', PHRASES) == [(1, "Mood Finding", "quoted", None), (2, "Other", "bare", "unknown_value")]
     assert values(spark, '"Mood Finding|Plant Extract', PHRASES) == [(1, "Mood Finding", "bare", "stray_quote"), (2, "Plant Extract", "bare", None)]
-    assert values(spark, '["Mood Finding"]', PHRASES) == [(1, "Mood Finding", "bracketed", None)]
+    assert values(spark, "[Mood Finding]", PHRASES) == [(1, "Mood Finding", "bracketed", None)]
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("""["T1", 'T12', T1]""", [("T1", "quoted", None), ("T12", "quoted", None), ("T1", "bracketed", None)]),
+        ("T1 [T12, T1] T1", [("T1", "bare", None), ("T12", "bracketed", None), ("T1", "bracketed", None), ("T1", "bare", None)]),
+        ("[T1],T12", [("T1", "bracketed", None), ("T12", "bare", None)]),
+        ("T1,[T12;T1],T12", [("T1", "bare", None), ("T12", "bracketed", None), ("T1", "bracketed", None), ("T12", "bare", None)]),
+        ("[T1, T12", [("T1", "bare", "open_bracket"), ("T12", "bare", None)]),
+        ("T1, T12 ]", [("T1", "bare", None), ("T12", "bare", "stray_bracket")]),
+        ("['T1' , T12", [("T1", "quoted", "open_bracket"), ("T12", "bare", None)]),
+        ("""["T1, 'T12']""", [("T1", "bracketed", "stray_quote"), ("T12", "quoted", None)]),
+        ("""["a]b", T1]""", [("a]b", "quoted", "unknown_value"), ("T1", "bracketed", None)]),
+        ("[[T1]]", [("T1", "bracketed", None)]),
+        ("[] [ ] [,]", []),
+        ("][", []),
+    ],
+)
+def test_brackets(spark, text, want):
+    assert [x[1:] for x in values(spark, text, CODES)] == want
 
 
 def test_codes(spark):
@@ -33,6 +55,8 @@ def test_codes(spark):
 
 
 def test_long_text(spark):
+    assert len(values(spark, "[" * 20_000 + "T1," * 1_000, CODES)) == 1_000
+    assert len(values(spark, "[" + "T1," * 20_000 + "]", CODES)) == 20_000
     assert len(values(spark, "T1," * 20_000, CODES)) == 20_000
     assert len(values(spark, '"' + "T1," * 5_000, CODES)) == 5_000
 
@@ -47,8 +71,6 @@ def test_types_and_their_codes_agree(spark):
     """In the data the n-th type name and the n-th type code of a row are one type, however either list is written."""
     import os
 
-    import pytest
-
     from termweave.plans import problem_queries
 
     d = "/root/testdata/sf0.01"
