@@ -5,6 +5,11 @@ first number). All items of a length go to the groups with the least sufficient
 what is left opens new containers. A step costs per group, not per item, so a plan over 10^11 items takes as long as over 10^5. This is
 best-fit decreasing. The histogram has at most ``capacity`` lengths, so it is small wherever it is collected.
 
+How many slot runs there are: a step takes up a whole group and leaves at most one, or it is the last of its length and leaves at most three;
+opening containers leaves two. So a length adds at most four groups, the k-th length takes at most 4k + 1 steps of two runs at most, and
+the plan has at most 4 x capacity^2 + 6 x capacity runs, whatever the number of items (thousands in practice). They are looked up by length, one
+row per length, in a join that is salted for lengths with many items; whether that side is broadcast is left to Spark's measure of its size.
+
 An item longer than the capacity is divided into full containers and one rest, which is an item like others. Items get their rank within
 their length by exact numbering (``chunks.number_rows``, safe if one length has a third of all items), and a slot run of the plan gives
 the container of each rank.
@@ -19,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.chunks import number_rows
+from ..operators.skew import hot_keys, salted_join
 from ..session import staged
 
 CAPACITY = 2048
@@ -102,12 +108,15 @@ def pack(sizes: DataFrame, row_id: str, size: str, capacity: int = CAPACITY) ->
     pieces = rows.withColumn("_full", full).withColumn("_rest", rest)
     histogram = {r["_rest"]: r["n"] for r in pieces.filter("_rest > 0").groupBy("_rest").agg(F.count(F.lit(1)).alias("n")).collect()}  # < capacity rows
     runs, number = plan(histogram, capacity)
-    slots = spark.createDataFrame([(r.size, r.start, r.start + r.each * r.bins - 1, r.each, r.first) for r in runs] or [(-1, 0, 0, 1, 0)], "_rest long, _start long, _end long, _each long, _first long")
+    by_length: dict[int, list[tuple[int, int, int, int]]] = {}
+    for r in runs:
+        by_length.setdefault(r.size, []).append((r.start, r.start + r.each * r.bins - 1, r.each, r.first))
+    slots = spark.createDataFrame(list(by_length.items()) or [(-1, [])], "_rest long, _runs array<struct<a: long, z: long, each: long, first: long>>")
+    hot = hot_keys(spark.createDataFrame(list(histogram.items()) or [(-1, 0)], "_rest long, _k long"), ["_rest"], weight="_k")
     ranked = number_rows(pieces.filter("_rest > 0").select("_row", "_n", "_full", "_rest"), ["_rest"], [F.col("_row")], "_rank")
-    # at most as many slot runs as the plan has steps, bounded by the capacity: safe to broadcast
-    placed = ranked.join(F.broadcast(slots), "_rest").filter((F.col("_rank") >= F.col("_start")) & (F.col("_rank") <= F.col("_end")))
+    placed = salted_join(ranked, slots, ["_rest"], "_row", hot).withColumn("_r", F.element_at(F.filter("_runs", lambda r: (F.col("_rank") >= r["a"]) & (F.col("_rank") <= r["z"])), 1))
     rests = placed.select(
-        F.expr("_first + (_rank - _start) div _each").alias("container"), F.col("_row").alias(row_id), (F.col("_full") + 1).alias("piece"), (F.col("_full") * capacity).alias("from_unit"), F.col("_n").alias("to_unit"), F.col("_rest").alias("n_units")
+        F.expr("_r.first + (_rank - _r.a) div _r.each").alias("container"), F.col("_row").alias(row_id), (F.col("_full") + 1).alias("piece"), (F.col("_full") * capacity).alias("from_unit"), F.col("_n").alias("to_unit"), F.col("_rest").alias("n_units")
     )
     # containers that one piece fills: numbered after the planned ones, by exact prefix sums over the divided items
     long = number_rows(pieces.filter("_full > 0").select("_row", "_full", F.explode(F.expr("sequence(1L, _full)")).alias("piece")).withColumn("_all", F.lit(0)), ["_all"], [F.col("_row"), F.col("piece")], "_k")

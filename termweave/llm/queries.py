@@ -129,6 +129,22 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return c.agg(F.count(F.lit(1)).alias("containers"), F.sum("used").alias("tokens"), F.max("used").alias("fullest"), (1 - F.sum("used") / (F.count(F.lit(1)) * packing.CAPACITY)).alias("waste"))
 
 
+def p8_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the promises hold on the contents: every document is in containers once and whole, none is above the capacity, only longer ones
+    than a container are divided, and the containers are at most eleven ninths of the least possible number and one, best fit's bound."""
+    c = staged(p8_contents(spark, d))
+    per_doc = c.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("pieces"), F.max("to_token").alias("size"), F.sum("n_tokens").alias("got"), F.min("from_token").alias("low"), F.max("piece").alias("last")
+    ).agg(
+        F.count(F.lit(1)).alias("documents"), F.bool_and((F.col("got") == F.col("size")) & (F.col("low") == 0) & (F.col("last") == F.col("pieces"))).alias("whole"),
+        F.bool_and((F.col("pieces") == 1) | (F.col("size") > packing.CAPACITY)).alias("only_long_divided"),
+    )
+    full = c.filter("container is not null").groupBy("container").agg(F.sum("n_tokens").alias("n"))
+    total = full.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("tokens"))
+    ok = F.col("k") <= F.ceil(F.col("tokens") / packing.CAPACITY) * 11 / 9 + 1
+    return per_doc.join(F.broadcast(total)).select("documents", "whole", "only_long_divided", (F.col("most") <= packing.CAPACITY).alias("fits"), ok.alias("few_containers"))
+
+
 def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     sizes = tokens.with_token_counts(table(spark, d, "documents"), "text", ["doc_id", "source"])
     return mixing.mix(sizes, table(spark, d, "mix_targets"), "doc_id")
@@ -218,8 +234,29 @@ _WITH_M = f"WITH m AS MATERIALIZED (SELECT DISTINCT {CLEAN.format('cui')} AS k,
 _JSON_SQL = r"SELECT 'labelinfo_json' AS tab, line_no, writer AS source FROM labelinfo_json WHERE info IS NULL OR NOT (json_valid(info) AND coalesce(json_type(CASE WHEN json_valid(info) THEN info END) = 'ARRAY', false))"
 
 
+_FIELDS = {**LABELS, "labelinfo_json": ("info", "writer")}
+_TERMINAL = ", ".join("'" + c.replace("'", "''") + "'" for c in truncation.TERMINAL)
+_OPEN = " UNION ALL ".join(
+    f"SELECT '{t}' AS tab, line_no, {s} AS source, u.unit AS unit, CASE u.unit WHEN 'chars' THEN length({c}) ELSE strlen({c}) END AS len, NOT right(rtrim({c}), 1) IN ({_TERMINAL}) OR regexp_matches({c}, '{truncation.ELLIPSES}') AS o "
+    f"FROM {t}, (VALUES ('chars'), ('bytes')) u(unit) WHERE {c} IS NOT NULL"
+    for t, (c, s) in _FIELDS.items()
+)
+_P = "PARTITION BY tab, source, unit ORDER BY len RANGE BETWEEN"
+_SPIKES = (
+    f"v AS MATERIALIZED ({_OPEN}), hist AS (SELECT tab, source, unit, len, count(*) AS n, CAST(count_if(o) AS BIGINT) AS n_open FROM v GROUP BY ALL), "
+    f"w AS (SELECT *, coalesce(sum(n) OVER ({_P} 13 PRECEDING AND 4 PRECEDING), 0) / 10 AS below, sum(n) OVER ({_P} 3 PRECEDING AND CURRENT ROW) AS near, sum(n_open) OVER ({_P} 3 PRECEDING AND CURRENT ROW) AS near_open, "
+    f"coalesce(sum(n) OVER ({_P} 1 FOLLOWING AND 10 FOLLOWING), 0) / 10 AS above, coalesce(max(CASE WHEN unit = 'chars' THEN n END) OVER (PARTITION BY tab, source ORDER BY len RANGE BETWEEN 3 PRECEDING AND CURRENT ROW), 0) AS chars FROM hist), "
+    "x AS (SELECT *, unit = 'bytes' AND chars <= n AS covers, n >= 20 AND n > 5 * greatest(below, above, 1) AS alone FROM w), "
+    "y AS (SELECT * FROM x WHERE alone OR (covers AND near >= 20 AND near > 8 * greatest(below, above, 1) AND n > 5 * greatest(above, 1))), "
+    f"z AS (SELECT *, coalesce(bool_or(covers) OVER ({_P} 1 FOLLOWING AND 3 FOLLOWING), false) AS inside FROM y), "
+    "spikes AS (SELECT tab, source, unit, CASE WHEN covers AND NOT inside THEN greatest(len - 3, 0) ELSE len END AS from_len, len, CAST(CASE WHEN covers AND NOT inside THEN near ELSE n END AS BIGINT) AS n, "
+    "CAST(CASE WHEN covers AND NOT inside THEN near_open ELSE n_open END AS BIGINT) AS n_open FROM z WHERE alone OR NOT inside), "
+    "suspects AS (SELECT DISTINCT v.tab, line_no FROM v JOIN spikes s ON v.tab = s.tab AND v.source IS NOT DISTINCT FROM s.source AND v.unit = s.unit AND v.len BETWEEN s.from_len AND s.len WHERE o)"
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    fs = (p2_found, p2_atoms, p2_labels, p6_found, p6_rates, p6_length_spikes, p6_suspects, p6_evidence, p7_found, p8_contents, p8_fill, p9_selection, p9_shares, p9_bands, p9_kept, p10_found, p10_segments, p10_documents, p10_kept)
+    fs = (p2_found, p2_atoms, p2_labels, p6_found, p6_rates, p6_length_spikes, p6_suspects, p6_evidence, p7_found, p8_contents, p8_fill, p8_kept, p9_selection, p9_shares, p9_bands, p9_kept, p10_found, p10_segments, p10_documents, p10_kept)
     return {f.__name__: f for f in fs}
 
 
@@ -228,11 +265,14 @@ def oracle_sql() -> dict[str, str]:
         "p2_found": " UNION ALL ".join(f"SELECT '{t}' AS tab, f AS line_a, line_no AS line_b FROM (SELECT line_no, min(line_no) OVER (PARTITION BY {k}) AS f FROM {t}) WHERE line_no <> f" for t, k in _KEYS.items()),
         "p2_atoms": _copies_sql("mrconso", "cui, sab, str"), "p2_labels": _copies_sql("labelinfo", "cui, label"),
         "p6_found": f"{_WITH_M} SELECT tab, line_no FROM ({_CUT_SQL} UNION ALL {_JSON_SQL})",
+        "p6_length_spikes": f"WITH {_SPIKES} SELECT * FROM spikes", "p6_suspects": f"WITH {_SPIKES} SELECT * FROM suspects",
+        "p6_evidence": f"{_WITH_M}, {_SPIKES} SELECT c.tab, c.line_no, CASE WHEN s.tab IS NULL THEN 'transfer' ELSE 'limit' END AS evidence FROM ({_CUT_SQL} UNION ALL {_JSON_SQL}) c LEFT JOIN suspects s USING (tab, line_no)",
         "p6_rates": f"{_WITH_M}, cut AS ({_CUT_SQL} UNION ALL {_JSON_SQL}), r AS ("
         + " UNION ALL ".join(f"SELECT '{t}' AS tab, coalesce({s}, '(none)') AS source FROM {t}" for t, s in (("preferredlabels", "exporter"), ("labelfreq", "corpus"), ("labelinfo_json", "writer")))
         + "), n AS (SELECT tab, source, count(*) AS n_rows FROM r GROUP BY 1, 2), c AS (SELECT tab, coalesce(source, '(none)') AS source, count(*) AS n_cut FROM cut GROUP BY 1, 2) "
         "SELECT tab, source, n_rows, coalesce(n_cut, 0) AS n_cut, coalesce(n_cut, 0) / n_rows AS share FROM n LEFT JOIN c USING (tab, source)",
         "p10_kept": r"SELECT doc_id, true AS numbered, true AS in_order, true AS alternate, true AS confident FROM documents WHERE regexp_matches(text, '\p{L}')",
+        "p8_kept": "SELECT count(*) AS documents, true AS whole, true AS only_long_divided, true AS fits, true AS few_containers FROM documents",
         "p9_kept": "SELECT source, true AS cap_kept, true AS share_kept, true AS report_right, true AS once FROM mix_targets",
         "p7_found": "SELECT cui, CAST(rnk AS INTEGER) AS rnk, line_no FROM (SELECT cui, line_no, row_number() OVER (PARTITION BY cui ORDER BY score DESC NULLS LAST, preflabel NULLS FIRST, line_no) AS rnk FROM preferredlabels) WHERE rnk <= 3",
     }

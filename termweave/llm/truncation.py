@@ -2,9 +2,10 @@
 
 Two kinds of evidence:
 
-* ``length_spikes``: per source and column, histograms of the lengths in characters and in bytes. A length at or just below the largest
-  that holds far more values than the lengths before it is a field limit; values of that length without terminal punctuation are
-  suspects. This needs nothing but the column, but says nothing about values cut during a transfer at any length.
+* ``length_spikes``: per source and column, histograms of the lengths in characters and in bytes. A length that holds far more values than the
+  lengths around it is the maximum of a field that the values went through; values of that length without terminal punctuation are
+  suspects. It need not be the largest length of the source: a source may bring values that went through several fields, or none.
+  This needs nothing but the column, but says nothing about values cut during a transfer at any length.
 * ``continued``: a value that is no known label of its concept but the beginning of one. Exact, and finds cuts at any length.
 
 ``continued`` is a merge: known labels and values are sorted by (concept, text) in byte order; what begins with a value follows it at
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean_key, core
-from ..session import staged
+from ..operators.skew import hot_keys, salted_join
+from ..session import small, staged
 
 # What ends a sentence or an item, and what stands for a cut.
 TERMINAL = ".!?。！？)]}\"'”»"
@@ -83,13 +85,14 @@ def length_spikes(hist: DataFrame) -> DataFrame:
 def suspects(df: DataFrame, source: str, column: str, keep: list[str]) -> DataFrame:
     """``keep`` of the values at a length of a spike (in characters or bytes) without terminal punctuation.
 
-    Spikes are few (a source has at most max length/WINDOW of them), so their lengths are broadcast.
+    The spikes' lengths are staged and broadcast if they are small; else the values are joined by shuffle, with salt for lengths of many.
     """
-    spikes = length_spikes(length_histogram(df, source, column)).select(F.col("source").alias("_s"), F.col("unit").alias("_u"), F.explode(F.sequence("from_len", "len")).alias("_l")).distinct()
+    lengths = length_spikes(length_histogram(df, source, column)).select(F.col("source").alias("s"), F.col("unit").alias("u"), F.explode(F.sequence("from_len", "len")).alias("l"))
+    spikes = staged(lengths.select(F.struct("s", "u", "l").alias("_k")).distinct())
     v = F.col(column)
-    rows = df.filter(v.isNotNull() & open_end(v))
-    two = F.array(F.struct(F.lit("chars").alias("_u"), F.length(v).alias("_l")), F.struct(F.lit("bytes").alias("_u"), F.octet_length(v).alias("_l")))
-    j = rows.select(*keep, F.col(source).alias("_src"), F.explode(two).alias("_k")).join(F.broadcast(spikes), F.col("_src").eqNullSafe(F.col("_s")) & (F.col("_k._u") == F.col("_u")) & (F.col("_k._l") == F.col("_l")))
+    at = lambda unit, n: F.struct(F.col(source).alias("s"), F.lit(unit).alias("u"), n.alias("l"))
+    rows = df.filter(v.isNotNull() & open_end(v)).select(*keep, F.explode(F.array(at("chars", F.length(v)), at("bytes", F.octet_length(v)))).alias("_k")).withColumn("_u", F.xxhash64(*keep))
+    j = rows.join(F.broadcast(spikes), "_k", "left_semi") if small(spikes) else salted_join(rows, spikes, ["_k"], "_u", hot_keys(rows, ["_k"]), "left_semi")
     return j.select(*keep).distinct()
 
 
