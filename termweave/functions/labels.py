@@ -45,12 +45,23 @@ def filter_literals(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, filter_literal(F.col(column))).filter(F.col(column) != "")
 
 
-def normalize_labels(df: DataFrame, column: str) -> DataFrame:
+def lower(c: Column, lang: str | None = None) -> Column:
+    """Lower case as a language writes it: Turkish and Azeri tell dotted from dotless i, Lithuanian keeps the dot under accents."""
+    if lang in ("tr", "az"):
+        c = F.translate(F.replace(c, F.lit("I\u0307"), F.lit("i")), "Iİ", "ıi")
+    elif lang == "lt":
+        for a, b in (("Ì", "i\u0307\u0300"), ("Í", "i\u0307\u0301"), ("Ĩ", "i\u0307\u0303")):
+            c = F.replace(c, F.lit(a), F.lit(b))
+        c = F.regexp_replace(c, "([IJĮ])(?=[\u0300\u0301\u0303])", "$1\u0307")
+    return F.lower(c)
+
+
+def normalize_labels(df: DataFrame, column: str, lang: str | None = None) -> DataFrame:
     """Label variants: every row once for each of umlaut, accent-free and base form (those that differ), with labelOrig and parenthesesInfo.
 
     Compatibility-normalised; a trailing parenthesis moves to parenthesesInfo (``NONE`` if there is none); one trailing comma, ``&quot;``
     and quotes around parts go. Kept if it has 2 to 50 characters and a letter. Null labels are dropped. ``variant`` 0.. is the order of emission.
-    ASCII labels, most of them, never leave the JVM: only the others pass through the Unicode functions.
+    ``lang`` (ISO 639-1) chooses its rules of lower case. ASCII labels, most of them, never leave the JVM: only the others pass through the Unicode functions.
     """
     ascii_ = ~F.col(column).rlike(r"[^\x00-\x7F]")
     plain = df.filter(ascii_).withColumn("_n", F.col(column))
@@ -64,7 +75,7 @@ def normalize_labels(df: DataFrame, column: str) -> DataFrame:
         x = F.replace(x, F.lit("&quot;"), F.lit('"'))
         x = F.regexp_replace(F.regexp_replace(x, '"(.+)"', "$1"), "''(.+)''", "$1")
         d = d.withColumn("parenthesesInfo", F.when(has, F.regexp_extract(n, TRAILING_PARENTHESIS, 1)).otherwise("NONE")).withColumn("labelOrig", x)
-        return d.filter((F.length("labelOrig") > 1) & (F.length("labelOrig") <= 50) & F.col("labelOrig").rlike(r"\p{L}")).withColumn("_base", F.lower("labelOrig"))
+        return d.filter((F.length("labelOrig") > 1) & (F.length("labelOrig") <= 50) & F.col("labelOrig").rlike(r"\p{L}")).withColumn("_base", lower(F.col("labelOrig"), lang))
 
     def variants(d: DataFrame, accents: Column) -> DataFrame:
         umlaut = F.col("_base")

@@ -16,9 +16,11 @@ LIMIT = 65_536
 OBJECT = T.ArrayType(T.StructType([T.StructField(v, T.IntegerType() if v.endswith("Freq") else T.DoubleType() if v.startswith("sc") else T.StringType()) for v in NAMES.values()]))
 
 
-def json_object(columns: dict[str, str], compat: bool = False) -> Column:
-    """A row as JSON text. Nulls are JSON null; with ``compat`` the text ``"null"``, as a text pipeline leaves them."""
-    text = F.to_json(F.struct(*[F.col(c).alias(n) for c, n in columns.items()]), {"ignoreNullFields": "false"})
+def json_object(columns: dict[str, str], compat: bool = False, zero_numbers: bool = False) -> Column:
+    """A row as JSON text. Nulls are JSON null; with ``compat`` the text ``"null"``, as a text pipeline leaves them; with ``zero_numbers``
+    missing scores (names in sc) are 0, as a database pipeline leaves them."""
+    value = lambda c, n: F.coalesce(F.col(c), F.lit(0)) if zero_numbers and n.startswith("sc") else F.col(c)
+    text = F.to_json(F.struct(*[value(c, n).alias(n) for c, n in columns.items()]), {"ignoreNullFields": "false"})
     return F.regexp_replace(text, r':null(?=[,}])', ':"null"') if compat else text
 
 
@@ -43,9 +45,9 @@ def json_per_key(df: DataFrame, key: str, obj: Column, order: list[str], limit:
     return rows.groupBy(key).agg(items.alias("_a")).select(key, F.concat(F.lit("["), F.array_join(F.transform("_a", lambda x: x["_j"]), ","), F.lit("]")).alias("info"))
 
 
-def label_candidates(info: DataFrame, limit: int | None = LIMIT, compat: bool = False) -> DataFrame:
+def label_candidates(info: DataFrame, limit: int | None = LIMIT, compat: bool = False, zero_numbers: bool = False) -> DataFrame:
     """label, info from label info rows; candidates of a label are in order of their concept, then of their text."""
-    j = info.withColumn("_text", json_object(NAMES, compat))
+    j = info.withColumn("_text", json_object(NAMES, compat, zero_numbers))
     return json_per_key(j, "label", F.col("_text"), ["cui", "_text"], limit)
 
 

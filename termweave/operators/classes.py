@@ -38,6 +38,13 @@ def class_maps(properties: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return part("hasCanonicalUri"), part("hasInterestingClass"), part("hasSuperClass")
 
 
+def class_info(canonical: DataFrame, interesting: DataFrame, supers: DataFrame) -> DataFrame:
+    """_c (a class as written), c (canonical), i (its class of interest or ''), up (all classes above it): as many values as its hierarchy is deep."""
+    up = supers.groupBy("cls").agg(F.collect_set("to").alias("up"))
+    info = canonical.select(F.col("cls").alias("_c"), F.col("to").alias("c")).join(interesting.select(F.col("cls").alias("c"), F.nullif(F.col("to"), F.lit(THING)).alias("i")), "c", "left").join(up.withColumnRenamed("cls", "c"), "c", "left")
+    return info.select("_c", "c", F.coalesce("i", F.lit("")).alias("i"), F.coalesce("up", F.array().cast("array<string>")).alias("up"))
+
+
 def specific_classes(rows: DataFrame, canonical: DataFrame, interesting: DataFrame, supers: DataFrame, uri: str = "uri", cls: str = "cls", order: str = "line_no") -> DataFrame:
     """uri, specific, interesting: ``|`` lists folded in order.
 
@@ -45,9 +52,7 @@ def specific_classes(rows: DataFrame, canonical: DataFrame, interesting: DataFra
     done; it lies below one of them: takes its place, done; otherwise it is appended. Its interesting class (owl:Thing counts as none) is
     appended if the list changed and lacks it. ``supers`` must be closed under superclass of superclass.
     """
-    up = supers.groupBy("cls").agg(F.collect_set("to").alias("up"))
-    info = canonical.select(F.col("cls").alias("_c"), F.col("to").alias("c")).join(interesting.select(F.col("cls").alias("c"), F.nullif(F.col("to"), F.lit(THING)).alias("i")), "c", "left").join(up.withColumnRenamed("cls", "c"), "c", "left")
-    info = info.select("_c", "c", F.coalesce("i", F.lit("")).alias("i"), F.coalesce("up", F.array().cast("array<string>")).alias("up"))
+    info = class_info(canonical, interesting, supers)
     known = rows.select(F.col(uri).alias("uri"), F.col(cls).alias("_c"), F.col(order).alias("_o")).groupBy("uri", "_c").agg(F.min("_o").alias("_o")).join(info, "_c")
     items = F.array_sort(F.collect_list(F.struct("_o", "c", "i", "up")))
     g = known.groupBy("uri").agg(items.alias("xs"))

@@ -479,7 +479,7 @@ def uri_expand(spark, d):
 
 @query("SELECT sab AS prefix, count(DISTINCT code) AS n_distinct, count(*) AS n FROM mrconso GROUP BY 1")
 def uri_prefix_counts(spark, d):
-    return uris.prefix_counts(table(spark, d, "mrconso").select(F.concat_ws(":", "sab", F.coalesce("code", F.lit(""))).alias("u")), "u")
+    return uris.prefix_counts(table(spark, d, "mrconso").select(F.concat_ws(":", "sab", F.coalesce("code", F.lit(""))).alias("u")), "u").orderBy("prefix")
 
 
 _ENCODED = "url_encode(pref)"
@@ -704,10 +704,27 @@ _FOLD = (
 @query(_FOLD)
 def specific_class_fold(spark, d):
     """Sizes as classes, each below its half: every brand keeps its most specific sizes, in the order of its parts."""
-    part = table(spark, d, "part").select(F.col("p_brand").alias("uri"), F.col("p_size").cast("string").alias("cls"), F.col("p_partkey").alias("line_no"))
+    part = _brands(table(spark, d, "part"))
+    return classes.specific_classes(part, *_sizes(spark, d))
+
+
+def _brands(part: DataFrame) -> DataFrame:
+    return part.select(F.col("p_brand").alias("uri"), F.col("p_size").cast("string").alias("cls"), F.col("p_partkey").alias("line_no"))
+
+
+def _sizes(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Canonical, interesting and superclasses of the sizes."""
     up = superclass_closure(spark, d).select(F.col("a").cast("string").alias("cls"), F.col("b").cast("string").alias("to"))
-    own = part.select("cls").distinct().select("cls", F.col("cls").alias("to"))
-    return classes.specific_classes(part, own, own.select("cls", F.when(F.col("cls") <= "3", F.col("cls")).otherwise(classes.THING).alias("to")), up)
+    own = _brands(table(spark, d, "part")).select("cls").distinct().select("cls", F.col("cls").alias("to"))
+    return own, own.select("cls", F.when(F.col("cls") <= "3", F.col("cls")).otherwise(classes.THING).alias("to")), up
+
+
+@query(_FOLD)
+def stream_class_fold(spark, d):
+    """The class fold on a stream of parts."""
+    rows = _brands(spark.readStream.schema(table(spark, d, "part").schema).parquet(f"{d}/part.parquet*"))
+    at = shared_path(spark, "stream")
+    return keyed.drained(keyed.running_classes(rows, *_sizes(spark, d), "uri", "cls", "line_no"), f"{at}/out", f"{at}/state", ["uri"])
 
 
 @query("SELECT label AS mention, count(*) AS total, CAST(sum(CASE WHEN coalesce(cui, '') <> '' THEN 1 ELSE 0 END) AS BIGINT) AS links, sum(CASE WHEN coalesce(cui, '') <> '' THEN 1 ELSE 0 END) / count(*) AS linkprop FROM labelfreq GROUP BY 1")

@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[tuple[SparkSession, str]] = []
+_shipped: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, for sessions whose workers neither have it installed nor find it on their path."""
+    if spark.sparkContext.applicationId not in _shipped:
+        _shipped.add(spark.sparkContext.applicationId)
+        folder = tempfile.mkdtemp(prefix="termweave-")  # the driver serves it to workers that start later, so it stays
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/termweave", "zip", os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "termweave"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a folder of our own only where none is set (tests, one machine)."""
     sc = spark.sparkContext

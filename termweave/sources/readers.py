@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import html
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,7 +76,15 @@ def sql_rows(spark: SparkSession, query: str, sep: str = "\t", null: str = "null
     if not _SELECT.fullmatch(query):
         with open(query, encoding="utf-8") as f:
             query = f.read().strip().rstrip(";")
-    df = spark.sql(query)
+    return _rows_as_text(spark.sql(query), sep, null)
+
+
+def jdbc_rows(spark: SparkSession, url: str, query: str, sep: str = "\t", null: str = "null", **options: str) -> DataFrame:
+    """The same for a query on a database, by JDBC. Options are those of the source, e.g. driver, user; partitionColumn needs dbtable in place of a query."""
+    return _rows_as_text(spark.read.format("jdbc").options(url=url, **({} if "dbtable" in options else {"query": query}), **options).load(), sep, null)
+
+
+def _rows_as_text(df: DataFrame, sep: str, null: str) -> DataFrame:
     return df.select(F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(null)) for c in df.columns]).alias("value"))
 
 
@@ -283,15 +293,20 @@ def read_wiki(spark: SparkSession, path, max_docs: int | None = None) -> DataFra
     text = F.regexp_replace(F.col("revision.text._VALUE"), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
     out = pages.filter((F.coalesce("ns", F.lit(0)) == 0) & F.col("id").isNotNull() & text.isNotNull() & (text != "") & ~F.lower(F.substring(text, 1, 9)).eqNullSafe("#redirect"))
     out = out.select("id", "title", F.col("revision.id").alias("rev_id"), F.col("revision.timestamp").alias("timestamp"), text.alias("text"))
-    return out.limit(max_docs) if max_docs else out
+    return out.orderBy(F.col("id").cast("long"), "id").limit(max_docs) if max_docs else out  # those with the smallest ids, the same every time
+
+
+@F.pandas_udf(T.StringType())
+def html_unescape(x: pd.Series) -> pd.Series:
+    """Numeric and named character references as characters; Spark has no built-in."""
+    return x.map(lambda s: s if s is None else html.unescape(s))
 
 
 def wiki_plain(text: Column) -> Column:
-    """An approximation of rendered text: templates, references, tags, tables and files go, links keep their label, markup quotes go."""
+    """An approximation of rendered text: character references are undone, then templates, references, tags, tables and files go, links keep their label, markup quotes go."""
+    text = F.replace(html_unescape(text), F.lit("\u00a0"), F.lit(" "))
     for p, r in ((r"(?s)<!--.*?-->", ""), (r"(?is)<ref[^>/]*/>|<ref[^>]*>.*?</ref>", ""), (r"(?s)\{\{[^{}]*\}\}", ""), (r"(?s)\{\{[^{}]*\}\}", ""), (r"(?s)\{\|.*?\|\}", ""), (r"\[\[(?:File|Image|Category):[^\]]*\]\]", ""), (r"\[\[(?:[^|\]]*\|)?([^\]]*)\]\]", "$1"), (r"\[https?://\S+ ([^\]]*)\]", "$1"), (r"'{2,}", ""), (r"(?m)^=+\s*(.*?)\s*=+\s*$", "$1"), (r"<[^>]+>", "")):
         text = F.regexp_replace(text, p, r)
-    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(a), F.lit(b))
     return text
 
 
@@ -307,6 +322,45 @@ def read_annotations(spark: SparkSession, path, set_name: str = "Key", kind: str
     return a.select("doc", F.col("a._StartNode").alias("start"), F.col("a._EndNode").alias("stop"), F.map_from_entries(pairs).alias("features"))
 
 
+def read_mentions(spark: SparkSession, path, set_name: str = "Key", kind: str = "Mention") -> DataFrame:
+    """Mentions of an annotated corpus: doc, mention (the text, white space squeezed), cui, readable; a cui written ``null`` is null.
+
+    Stand-off XML documents (``.xml`` and ``.finf``) under a folder, one document at a time: text with nodes, and annotations between nodes.
+    A document that can't be read gives one row whose other fields are null.
+    """
+    import xml.etree.ElementTree as ET
+
+    def one(text: str) -> Iterator[tuple[str | None, str | None, str | None]]:
+        root = ET.fromstring(text)
+        body, at, parts, size = root.find("TextWithNodes"), {}, [], 0
+        for piece in [] if body is None else [body.text, *[x for node in body for x in (node, node.tail)]]:
+            if isinstance(piece, str):
+                parts.append(piece)
+                size += len(piece)
+            elif piece is not None:
+                at[piece.get("id")] = size
+        whole = "".join(parts)
+        for group in root.iter("AnnotationSet"):
+            if (group.get("Name") or "") == set_name:
+                for a in group.iter("Annotation"):
+                    if a.get("Type") == kind and a.get("StartNode") in at and a.get("EndNode") in at:
+                        f = {(x.findtext("Name") or "").strip(): (x.findtext("Value") or "").strip() for x in a.iter("Feature")}
+                        cui = f.get("CUI")
+                        yield " ".join(whole[at[a.get("StartNode")] : at[a.get("EndNode")]].split()), None if cui == "null" else cui, f.get("readable")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                try:
+                    rows = [(doc, *r) for r in one(text)]
+                except ET.ParseError:
+                    rows = [(doc, None, None, None)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(4)], names=["doc", "mention", "cui", "readable"])
+
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{xml,finf}").text(path, wholetext=True)
+    return files.select(F.input_file_name().alias("doc"), "value").mapInArrow(run, "doc string, mention string, cui string, readable string")
+
+
 def read_ontology(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
     """(subclass edges, equivalence edges), each (a, b), of the classes in an RDF/XML ontology file."""
     ref = T.ArrayType(T.StructType([T.StructField("_rdf:resource", T.StringType())]))

@@ -81,6 +81,13 @@ def shard_path(doc_id: Column, digits: int, ext: str = ".finf") -> Column:
     return F.concat(F.substring(tail, 1, digits), F.lit("/"), F.right(tail, F.lit(digits)), F.lit(ext))
 
 
+def write_documents(df: DataFrame, doc_id: str, path: str, digits: int = 2) -> None:
+    """Documents in folders by the last digits of their ids (see ``shard_path``): ``dir=xx``, each row with its ``file``."""
+    at = shard_path(F.col(doc_id), digits, "")
+    split = F.split(at, "/")
+    write_table(df.withColumn("dir", split[0] if digits else F.lit("all")).withColumn("file", F.element_at(split, -1)), path, ["dir"])
+
+
 def gazetteer_definition(files: dict[str, tuple[str, str]]) -> str:
     """Descriptor text: one ``file:majorType:minorType`` line for each list."""
     return "".join(f"{name}:{major}:{minor}\n" for name, (major, minor) in files.items())

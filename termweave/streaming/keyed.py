@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import filter_literals
+from ..operators.classes import class_info
 from ..operators.freq import mention_counts
 
 
@@ -44,6 +46,39 @@ def running_merge(stream: DataFrame, label: str, uri: str, values: list[str], or
     return s.groupBy("label", "uri").applyInPandasWithState(_merge, "label string, uri string, v0 string, v1 string, v2 string", "v0 string, v1 string, v2 string", "update", "NoTimeout")
 
 
+def _fold_classes(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """As ``_merge``: the first line of each class of the batch, then the fold of ``classes.specific_classes`` from where the state left it."""
+    first: dict[str, tuple] = {}
+    for f in frames:
+        at = f.loc[f.groupby("c")["line_no"].idxmin()]
+        for c, line, i, up in zip(at["c"], at["line_no"], at["i"], at["up"]):
+            if c not in first or line < first[c][0]:
+                first[c] = (line, i, frozenset(up))
+    cells, found = json.loads(state.get[0]) if state.exists else ([], [])
+    for c, (_, i, up) in sorted(first.items(), key=lambda x: (x[1][0], x[0])):
+        at = next((k for k, (e, above) in enumerate(cells) if e == c or c in above or e in up), None)
+        if at is not None and (cells[at][0] == c or c in cells[at][1]):
+            continue
+        if at is None:
+            cells.append([c, sorted(up)])
+        else:
+            cells[at] = [c, sorted(up)]
+        if i and i not in found:
+            found.append(i)
+    state.update((json.dumps([cells, found]),))
+    yield pd.DataFrame([[*key, "|".join(c for c, _ in cells), "|".join(found)]], columns=["uri", "specific", "interesting"])
+
+
+def running_classes(stream: DataFrame, canonical: DataFrame, interesting: DataFrame, supers: DataFrame, uri: str, cls: str, order: str) -> DataFrame:
+    """Specific and interesting classes of each uri so far (see ``classes.specific_classes``), in arrival order. Emits each changed uri.
+
+    What is known of a class comes from a static table. State is per uri: its classes, and what lies above them.
+    """
+    s = stream.select(F.col(uri).alias("uri"), F.col(cls).alias("_c"), F.col(order).alias("line_no"))
+    s = s.join(class_info(canonical, interesting, supers), "_c").select("uri", "c", "line_no", "i", "up")
+    return s.groupBy("uri").applyInPandasWithState(_fold_classes, "uri string, specific string, interesting string", "cells string", "update", "NoTimeout")
+
+
 def drained(result: DataFrame, path: str, checkpoint: str, keys: list[str], mode: str = "update") -> DataFrame:
     """Run a stream over what is there and return the last row of each key. Every batch is one folder, so a batch that runs again replaces itself."""
 

@@ -312,8 +312,8 @@ def test_run_all(spark, tmp_path):
     }
     pipelines.run_all(t, str(tmp_path), pipelines.Config(languages=("en", "de")))
     assert {r.lang for r in spark.read.parquet(f"{tmp_path}/candidates").collect()} == {"en", "de"}
-    assert [r.value for r in spark.read.text(f"{tmp_path}/gazetteer/en/cased").collect()] == ["DNA"] and [r.value for r in spark.read.text(f"{tmp_path}/gazetteer/de/uncased").collect()] == ["dna"]
-    assert [r.value for r in spark.read.text(f"{tmp_path}/abstracts").collect()] == ["C1\ttext"]
+    assert [r.value for r in spark.read.text(f"{tmp_path}/gazetteer/en/cased-labels.lst").collect()] == ["DNA"] and [r.value for r in spark.read.text(f"{tmp_path}/gazetteer/de/uncased-labels.lst").collect()] == ["dna"]
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/abstracts").collect()) == [("C1", "text", "de"), ("C1", "text", "en")]
 
 
 def test_release_files(spark, tmp_path):
