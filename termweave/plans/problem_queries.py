@@ -169,9 +169,13 @@ _JUDGED = (
 # Problem 5 -------------------------------------------------------------------------------------------------------------------------
 
 
-def _ranked(spark: SparkSession, d: str, key: str) -> DataFrame:
+def _pairs(spark: SparkSession, d: str, key: str) -> tuple[DataFrame, str, str, dict]:
     li = table(spark, d, "labelinfo").select("label", clean_key("cui").alias("cui"), F.coalesce("crislabelcuifreq", F.lit(0)).alias("f"), F.coalesce("pagerank", F.lit(0.0)).alias("r"))
-    return chunks.ranked_items(li, key, "cui" if key == "label" else "label", {"freq": F.max("f"), "prob": F.max("r")})
+    return li, key, "cui" if key == "label" else "label", {"freq": F.max("f"), "prob": F.max("r")}
+
+
+def _ranked(spark: SparkSession, d: str, key: str) -> DataFrame:
+    return chunks.ranked_items(*_pairs(spark, d, key))
 
 
 def _results(spark: SparkSession, d: str, key: str) -> DataFrame:
@@ -185,6 +189,12 @@ def p5_label_candidates(spark: SparkSession, d: str) -> DataFrame:
     return _ranked(spark, d, "label").select("label", F.col("row_no").alias("pos"), "cui", "copies", "freq", "prob")
 
 
+def p5_label_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """The candidates of every label in chunks of 50, and what each chunk brings."""
+    c = chunks.ranked_items(*_pairs(spark, d, "label"), 50)
+    return c.groupBy("label", "chunk_no").agg(F.count(F.lit(1)).alias("n_cuis"), F.sum("copies").alias("n_rows"), F.min_by("cui", "row_no").alias("first_cui"), F.max_by("cui", "row_no").alias("last_cui"))
+
+
 def p5_label_results(spark: SparkSession, d: str) -> DataFrame:
     return _results(spark, d, "label")
 
@@ -214,7 +224,7 @@ def _results_sql(key: str) -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_rejects, p1_reject_counts, p1_mrconso, p1_mrcols, p1_mrsab, p3_found, p3_value_counts, p3_flags, p4_found, p4_reasons, p4_counts, p5_label_candidates, p5_label_results, p5_cui_labels, p5_cui_results)}
+    return {f.__name__: f for f in (p1_found, p1_rejects, p1_reject_counts, p1_mrconso, p1_mrcols, p1_mrsab, p3_found, p3_value_counts, p3_flags, p4_found, p4_reasons, p4_counts, p5_label_candidates, p5_label_chunks, p5_label_results, p5_cui_labels, p5_cui_results)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -228,5 +238,6 @@ def oracle_sql() -> dict[str, str]:
         "p4_reasons": f"SELECT tab, line_no, k AS cui, umlsversion, reason FROM {_JUDGED} WHERE reason IS NOT NULL",
         "p4_counts": f"SELECT tab, umlsversion, count(*) AS refs, count(reason) AS orphans, " + ", ".join(f"count(*) FILTER (reason = '{r}') AS {r}" for r in ("missing", "later", "deleted")) + f", count(DISTINCT CASE WHEN reason IS NOT NULL THEN k END) AS orphan_keys FROM {_JUDGED} GROUP BY 1, 2",
         "p5_label_candidates": f"SELECT * FROM {_ranked_sql('label')}", "p5_label_results": _results_sql("label"),
+        "p5_label_chunks": f"SELECT label, (pos - 1) // 50 AS chunk_no, count(*) AS n_cuis, CAST(sum(copies) AS BIGINT) AS n_rows, min_by(cui, pos) AS first_cui, max_by(cui, pos) AS last_cui FROM {_ranked_sql('label')} GROUP BY 1, 2",
         "p5_cui_labels": f"SELECT * FROM {_ranked_sql('cui')}", "p5_cui_results": _results_sql("cui"),
     }

@@ -17,7 +17,7 @@ from ..functions import uris
 from ..functions.text import clean_key
 from ..operators import candidates, classes, concepts, freq, graph, labels, lookup, packed, rowops
 from ..session import shared_path, staged, table
-from ..sources import readers, sinks
+from ..sources import readers, schemas, sinks
 from ..streaming import keyed
 from . import pipelines, problem_queries, script
 
@@ -613,6 +613,143 @@ def tsv_gz_scan(spark, d):
 _SQL["tsv_gz_scan"] = _SQL["tsv_gz_scan"].replace("coalesce(label, '')", "replace(coalesce(label, ''), chr(9), ' ')")
 
 
+@query("SELECT tui AS col, sty AS des, CAST(NULL AS VARCHAR) AS ref, 1 AS min, CAST(2.5 AS DECIMAL(5, 2)) AS av, 3 AS max, 'MRSTY.RRF' AS fil, CAST(NULL AS VARCHAR) AS dty FROM semtypes")
+def mrcols_scan(spark, d):
+    """A column list written as a release file and read back with its numbers."""
+    at = _place(spark)
+    table(spark, d, "semtypes").select(F.concat_ws("|", "tui", "sty", F.lit(""), F.lit("1"), F.lit("2.50"), F.lit("3"), F.lit("MRSTY.RRF"), F.lit(""), F.lit("")).alias("value")).write.text(at)
+    return readers.read_rrf(spark, at, "MRCOLS")
+
+
+def _quoted(c: str, q: str, more: str = ""):
+    return F.concat(F.lit(q), F.replace(F.coalesce(c, F.lit("-")), F.lit(q), F.lit("")), F.lit(more + q))
+
+
+@query("SELECT replace(coalesce(label, '-'), '\"', '') || chr(9) || 'x' AS label, cnt FROM labelfreq")
+def quoted_tsv_scan(spark, d):
+    """Tab-separated with quotes, which may hold tabs."""
+    at = _place(spark)
+    table(spark, d, "labelfreq").select(F.concat(_quoted("label", '"', "\tx"), F.lit("\t"), F.coalesce(F.col("cnt").cast("string"), F.lit(""))).alias("value")).write.text(at)
+    return readers.read_tsv(spark, at, "label string, cnt int")
+
+
+@query("SELECT replace(coalesce(label, '-'), '\"', '') || '|x' AS label, cnt FROM labelfreq")
+def quoted_pipe_scan(spark, d):
+    """Pipe-separated with quotes, which may hold pipes."""
+    at = _place(spark)
+    table(spark, d, "labelfreq").select(F.concat(_quoted("label", '"', "|x"), F.lit("|"), F.coalesce(F.col("cnt").cast("string"), F.lit(""))).alias("value")).write.text(at)
+    return readers.read_pipe(spark, at, "label string, cnt int")
+
+
+@query("SELECT tui, replace(sty, chr(39), '') AS sty FROM semtypes")
+def quoted_csv_scan(spark, d):
+    """Comma-separated with single quotes, which may hold commas."""
+    at = _place(spark)
+    table(spark, d, "semtypes").select(F.concat(F.col("tui"), F.lit(","), _quoted("sty", "'")).alias("value")).write.text(at)
+    return readers.read_quoted_csv(spark, at, "tui string, sty string")
+
+
+@query(
+    "SELECT 'http://x/' || tui AS subj, 'http://x/label' AS pred, sty AS obj, 'en' AS lang, '' AS datatype FROM semtypes UNION ALL "
+    "SELECT 'http://x/' || tui, 'http://x/size', CAST(length(sty) AS VARCHAR), '', 'http://www.w3.org/2001/XMLSchema#integer' FROM semtypes"
+)
+def turtle_scan(spark, d):
+    """Types as Turtle with a prefix and lists of predicates, read back as triples."""
+    at = _place(spark)
+    line = F.concat(F.lit("@prefix x: <http://x/> . x:"), F.col("tui"), F.lit(' x:label "'), F.col("sty"), F.lit('"@en ; x:size '), F.length("sty").cast("string"), F.lit(" ."))
+    table(spark, d, "semtypes").select(line.alias("value")).write.text(at)
+    return readers.read_turtle(spark, at).drop("_corrupt")
+
+
+def _write_xml(rows: DataFrame, root: str, at: str) -> None:
+    """Rows (``value``) as one document under ``root``, as dumps and ontologies are one document."""
+    ends = rows.sparkSession.createDataFrame([(0, f"<{root}>"), (2, f"</{root}>")], "n int, value string")
+    rows.withColumn("n", F.lit(1)).select("n", "value").unionByName(ends).coalesce(1).sortWithinPartitions("n").select("value").write.text(at)
+
+
+def _wiki(spark, d, most: int | None = None) -> DataFrame:
+    """Labels as pages of a dump: every third is a talk page, every fifth a redirect."""
+    at, n = _place(spark), F.col("line_no")
+    text = F.regexp_replace(F.when(n % 5 == 0, F.concat(F.lit("#REDIRECT "), "label")).otherwise(F.col("label")), "[&<>]", " ")
+    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), c.cast("string"), F.lit(f"</{name}>"))
+    revision = tag("revision", F.concat(tag("id", n * 2), tag("timestamp", F.lit("2016")), tag("text", text)))
+    page = tag("page", F.concat(tag("title", F.lit("t")), tag("ns", F.when(n % 3 == 0, 1).otherwise(0)), tag("id", n), revision))
+    _write_xml(table(spark, d, "labelinfo_json").filter("label is not null").select(page.alias("value")), "mediawiki", at)
+    return readers.read_wiki(spark, at, most).select("id", "rev_id", "text")
+
+
+_PAGES = "(SELECT CAST(line_no AS VARCHAR) AS id, CAST(line_no * 2 AS VARCHAR) AS rev_id, trim(regexp_replace(label, '[&<>]', ' ', 'g')) AS text FROM labelinfo_json WHERE line_no % 3 <> 0 AND line_no % 5 <> 0 AND label IS NOT NULL)"
+
+
+@query(f"SELECT * FROM {_PAGES} WHERE text <> ''")
+def wiki_scan(spark, d):
+    return _wiki(spark, d)
+
+
+@query(f"SELECT * FROM {_PAGES} WHERE text <> '' ORDER BY CAST(id AS BIGINT) LIMIT 100")
+def wiki_first_documents(spark, d):
+    """The option that reads the first so many documents."""
+    return _wiki(spark, d, 100)
+
+
+@query("SELECT DISTINCT 'c' || p_size AS a, 'c' || p_size // 2 AS b, 'sub' AS edge FROM part WHERE p_size > 1 UNION ALL SELECT DISTINCT 'c' || p_size, p_brand, 'same' FROM part")
+def ontology_scan(spark, d):
+    """Sizes as classes of an RDF/XML ontology, each below its half, with brands as equivalent names."""
+    at = _place(spark)
+    res = lambda tag, c: F.concat(F.lit(f'<{tag} rdf:resource="'), c, F.lit('"/>'))
+    name = lambda e: F.concat(F.lit("c"), F.expr(e).cast("string"))
+    body = F.concat(F.when(F.col("p_size") > 1, res("rdfs:subClassOf", name("p_size div 2"))).otherwise(""), res("owl:equivalentClass", F.col("p_brand")))
+    head = F.concat(F.lit('<owl:Class xmlns:owl="o" xmlns:rdf="r" xmlns:rdfs="s" rdf:about="'), name("p_size"), F.lit('">'))
+    _write_xml(table(spark, d, "part").select("p_size", "p_brand").distinct().select(F.concat(head, body, F.lit("</owl:Class>")).alias("value")), "ontology", at)
+    sub, same = readers.read_ontology(spark, at)
+    return sub.distinct().withColumn("edge", F.lit("sub")).unionByName(same.distinct().withColumn("edge", F.lit("same")))
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(str(row) for row in schemas.LANGUAGES) + ") v(iso6391, iso6393, umlslabel)")
+def languages_table(spark, d):
+    return readers.languages(spark)
+
+
+@query("SELECT doc_id, text FROM documents WHERE text IS NOT NULL")
+def unescape_import(spark, d):
+    """Texts escaped into lines, and imported with the escapes undone."""
+    lines = sinks.tsv_lines(table(spark, d, "documents").filter("text is not null").select("doc_id", sinks.escape_tabs(F.col("text")).alias("t")))
+    f = lines.select(F.split("value", "\t", -1).alias("f"))
+    return f.select(F.get("f", F.lit(0)).cast("long").alias("doc_id"), sinks.unescape_tabs(F.get("f", F.lit(1))).alias("text"))
+
+
+@query("SELECT a AS line_no, b AS cui, c AS label FROM (SELECT *, row_number() OVER (PARTITION BY b ORDER BY CAST(a AS BIGINT) DESC) AS rn FROM " + _L + ") WHERE rn = 1")
+def import_last(spark, d):
+    """The last row per key, as merging row by row leaves."""
+    rows = _lines(spark, d).withColumn("n", F.get("f", F.lit(0)).cast("long"))
+    return sinks.import_rows(rows, {"line_no": 0, "cui": 1, "label": 2}, ["cui"], "n", last_wins=True)[0].select("line_no", "cui", "label")
+
+
+@query("SELECT cui, cnt FROM cuifreq")
+def replaced_table(spark, d):
+    """A table created, and replaced by another."""
+    at = _place(spark)
+    sinks.write_table(table(spark, d, "labelfreq"), at)
+    sinks.write_table(table(spark, d, "cuifreq").select("cui", "cnt"), at)
+    return spark.read.parquet(at)
+
+
+@query(f"SELECT count(*) AS lines, CAST(count_if(regexp_matches(c, '[0-9]')) AS BIGINT) AS digits, CAST(count_if(b = '') AS BIGINT) AS blank FROM {_L}")
+def run_counters(spark, d):
+    """Counters that are filled while the lines pass."""
+    df, seen = rowops.observed(_lines(spark, d), "lines", digits=F.get("f", F.lit(2)).rlike("[0-9]"), blank=F.get("f", F.lit(1)) == "")
+    df.write.format("noop").mode("overwrite").save()
+    got = seen.get
+    return spark.createDataFrame([(got["lines"], got["digits"], got["blank"])], "lines long, digits long, blank long")
+
+
+@query("SELECT line_no, CAST(cnt AS VARCHAR) AS n, CAST(to_json('x' || label) AS VARCHAR) AS s FROM labelfreq WHERE label IS NOT NULL AND cnt IS NOT NULL")
+def untyped_json(spark, d):
+    """Fields without types as JSON: numbers bare, others quoted."""
+    t = table(spark, d, "labelfreq").filter("label is not null and cnt is not null")
+    return t.select("line_no", candidates.scalar(F.col("cnt").cast("string")).alias("n"), candidates.scalar(F.concat(F.lit("x"), "label")).alias("s"))
+
+
 @query("SELECT 'KCX' AS styclass, sty FROM semtypes WHERE tui <= 'T441' UNION ALL SELECT 'BMH', sty FROM semtypes")
 def semantic_group_list(spark, d):
     """The group list as text, with headers and comments, parsed."""

@@ -32,8 +32,8 @@ def read_pipe(spark: SparkSession, path, columns: T.StructType) -> DataFrame:
     return _csv(spark, path, columns, "|", quote='"')
 
 
-def read_tsv(spark: SparkSession, path, columns: T.StructType, quote: str = "") -> DataFrame:
-    """Tab-separated with declared columns; pass ``quote='"'`` for quoted files."""
+def read_tsv(spark: SparkSession, path, columns: T.StructType, quote: str = '"') -> DataFrame:
+    """Tab-separated with declared columns and ``"`` quoting; pass ``quote=""`` for files in which quotes are text."""
     return _csv(spark, path, columns, "\t", quote=quote)
 
 
@@ -270,14 +270,17 @@ def read_turtle(spark: SparkSession, path, keep_original: bool = False) -> DataF
         for b in batches:
             for text in b.column(0).to_pylist():
                 rows: list = []
+                block = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.string()) for j in range(6)], names=names)
                 try:
                     for t in parse_turtle(text, keep_original):
                         rows.append((*t, None))
+                        if len(rows) == 10_000:
+                            yield block(rows)
+                            rows = []
                 except (ValueError, KeyError, IndexError) as e:
                     rows.append((None, None, None, None, None, f"{type(e).__name__}: {e}"))
-                for k in range(0, len(rows), 10_000):
-                    part = rows[k : k + 10_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in part], pa.string()) for j in range(6)], names=names)
+                if rows:
+                    yield block(rows)
 
     return spark.read.text(path, wholetext=True).mapInArrow(run, TRIPLE)
 

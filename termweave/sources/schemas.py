@@ -51,8 +51,9 @@ def required(name: str) -> list[str]:
 
 
 # ISO 639-1, ISO 639-3 and release label of the languages.
-LANGUAGES = [tuple(x.split()) for x in (
-    "bg bul BUL", "cs ces CZE", "da dan DAN", "de deu GER", "el ell GRE", "en eng ENG", "es spa SPA", "et est EST", "eu eus BAQ", "fi fin FIN",
-    "fr fra FRE", "he heb HEB", "hr hrv SCR", "hu hun HUN", "it ita ITA", "ja jpn JPN", "ko kor KOR", "lv lav LAV", "nl nld DUT", "no nor NOR",
-    "pl pol POL", "pt por POR", "ru rus RUS", "sh hbs SCR", "sr srp SCR", "sv swe SWE", "tr tur TUR", "zh zho CHI",
-)]
+LANGUAGES = [
+    ("bg", "bul", "BUL"), ("cs", "ces", "CZE"), ("da", "dan", "DAN"), ("de", "deu", "GER"), ("el", "ell", "GRE"), ("en", "eng", "ENG"), ("es", "spa", "SPA"),
+    ("et", "est", "EST"), ("eu", "eus", "BAQ"), ("fi", "fin", "FIN"), ("fr", "fra", "FRE"), ("it", "ita", "ITA"), ("ja", "jpn", "JPN"), ("he", "heb", "HEB"),
+    ("hr", "hrv", "SCR"), ("hu", "hun", "HUN"), ("ko", "kor", "KOR"), ("lv", "lav", "LAV"), ("nl", "nld", "DUT"), ("no", "nor", "NOR"), ("pl", "pol", "POL"),
+    ("pt", "por", "POR"), ("ru", "rus", "RUS"), ("sh", "hbs", "SCR"), ("sr", "srp", "SCR"), ("sv", "swe", "SWE"), ("tr", "tur", "TUR"), ("zh", "zho", "CHI"),
+]
