@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import staged
+from ..session import release, staged
 from .skew import unused
 
 #: Rows of a key that one chunk holds.
@@ -185,5 +185,8 @@ def ranked_items(df: DataFrame, key: str, item: str, scores: dict[str, Column],
     ``scores`` are aggregates (name to Column), best first when larger; null is worst; ties go to the smaller item. Equal (key, item)
     rows are combined before the shuffle; then the items of a key are numbered by ``chunked``. Rows with a null key or item count as such.
     """
-    pairs = df.groupBy(key, item).agg(F.count(F.lit(1)).alias("copies"), *[c.alias(n) for n, c in scores.items()])
-    return chunked(pairs, [key], [*[F.col(n).desc_nulls_last() for n in scores], F.col(item).asc_nulls_last()], chunk_rows)
+    # staged, as cutting it into ranges reads it twice
+    pairs = staged(df.groupBy(key, item).agg(F.count(F.lit(1)).alias("copies"), *[c.alias(n) for n, c in scores.items()]))
+    out = chunked(pairs, [key], [*[F.col(n).desc_nulls_last() for n in scores], F.col(item).asc_nulls_last()], chunk_rows)
+    release(pairs)
+    return out

@@ -27,7 +27,9 @@ def relation_counts(pairs: DataFrame, a: str, b: str, least: int = 1) -> DataFra
 
 def adjacency(edges: DataFrame, node: str, other: str, count: str, chunk: int = 10_000) -> DataFrame:
     """node, chunk_no, edges: its neighbours as an array of (count, other), by other, in lists of at most ``chunk``."""
-    c = chunked(edges.select(node, other, count), [node], [F.col(other), F.col(count)], chunk)
+    own = staged(edges.select(node, other, count))  # cutting it into ranges reads it twice
+    c = chunked(own, [node], [F.col(other), F.col(count)], chunk)
+    release(own)
     e = F.array_sort(F.collect_list(F.struct("row_no", count, other)))
     return c.groupBy(node, "chunk_no").agg(e.alias("_e")).select(node, "chunk_no", F.transform("_e", lambda x: F.struct(x[count].alias("count"), x[other].alias("other"))).alias("edges"))
 
@@ -68,11 +70,12 @@ def page_rank(edges: DataFrame, a: str, b: str, weight: str | None = None, dampi
         r = rank.select(F.col("node").alias("s"), "prob")
         if hot:
             r = r.withColumn("salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-        return out.join(r, on).groupBy(F.col("t").alias("node")).agg(F.sum(F.col("prob") * F.col("w")).alias("in"))
+        # the ranks of a bucket are hashed, so the edges need no sort in any round
+        return out.join(r.hint("shuffle_hash"), on).groupBy(F.col("t").alias("node")).agg(F.sum(F.col("prob") * F.col("w")).alias("in"))
 
     rank, old = nodes.select("node", F.lit(1.0 / n).alias("prob")), None
     for k in range(iterations):
-        rank = nodes.join(given(rank), "node", "left").select("node", (F.lit((1 - damping) / n) + damping * F.coalesce("in", F.lit(0.0))).alias("prob"))
+        rank = nodes.join(given(rank).hint("shuffle_hash"), "node", "left").select("node", (F.lit((1 - damping) / n) + damping * F.coalesce("in", F.lit(0.0))).alias("prob"))
         if k % STAGE == STAGE - 1 or k == iterations - 1:
             rank = staged(rank)
             if old is not None:
