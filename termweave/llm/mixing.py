@@ -8,16 +8,20 @@ its weight of that total. It is used whole as often as fits. Of the remaining bu
    So every range of lengths gives its share of documents to within one (that of the longest, two), and what is left of B is less than two longest documents:
    a block's first document is its shortest, and the differences between blocks' means and firsts add up to less than one longest.
 2. The rest is fitted by a bounded knapsack over the lengths that still have documents: subset sums, longest lengths first, so that few
-   documents do it. If they can't fill it, as nearly all documents are taken, it is done again with one taken document of each half
-   power of two given back. Documents of a length are taken in order of their rank.
+   documents do it. It is tried over the ``STEPS`` shortest lengths of each half power of two. A sum that is the budget can't be bettered. If
+   they miss it, ``fit`` does it over every length and every document of the source, taken ones too: its sum is the largest of all selections
+   that keep the budget. Documents of a length are taken in order of their rank.
 
-Whether a document is taken is a function of its rank, so the only lengths joined are those the knapsack changes. All sizes go the same way. What reaches
-the driver: one row per source of the targets, and per source the lengths of the knapsack: at most ``STEPS`` of each half power of two, less than
-1,000 in all. A source with more lengths than that has its knapsack over these; the sum can then miss the budget only by what they can't fill.
+Whether a document is taken is a function of its rank, so the only lengths joined are those the knapsack changes. What reaches the driver: one row per
+source of the targets, and per source less than 1,000 lengths with their counts; of a source where these miss the budget, all its lengths with
+their counts, at most as many as the longest document has units. ``STEPS`` says how many are tried first; the sum reached doesn't depend on it.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+from array import array
 from collections.abc import Iterable
 from fractions import Fraction
 
@@ -28,10 +32,8 @@ from pyspark.sql import functions as F
 from ..operators.chunks import number_rows
 from ..session import release, staged
 
-#: The knapsack of a source is over at most so many lengths, the shortest, of each half power of two.
+#: The first knapsack of a source is over so many lengths, the shortest, of each half power of two.
 STEPS = 16
-#: Documents longer than what is left by more than this are not given back.
-BACK = 256
 SEED = 42
 
 
@@ -71,6 +73,92 @@ def subset_sum(counts: dict[int, int], budget: int) -> dict[int, int]:
     return take
 
 
+def _parts(counts: dict[int, int], most: int) -> list[tuple[int, int, int]]:
+    """(units, length, documents) of groups of documents of a length, none above ``most`` units, by which any number up to the count can be put together.
+
+    Single documents of every length come first, then pairs and so on. Lengths are mixed by a hash: few neighbouring parts then make many different sums.
+    """
+    parts = []
+    for length, left in counts.items():
+        k, top, turn = 1, max(1, most // length), 0
+        while left > 0:
+            k = min(k, left)
+            parts.append((turn, length * 0x9E3779B1 & 0xFFFFFFFF, length, k))
+            left -= k
+            k, turn = k * 2 if k * 2 <= top else k, turn + 1
+    return [(length * k, length, k) for _, _, length, k in sorted(parts)]
+
+
+def fit(counts: dict[int, tuple[int, int]], gap: int) -> dict[int, int]:
+    """How many documents of each length to add, or if negative to give back, so that the sum is the largest that is at most ``gap`` (0 or more).
+
+    ``counts``: length -> (taken, not taken). Exact: no length and no document is left out. Balanced subset sums (Pisinger 1999): parts are added while the
+    sum is at most the gap and given back while it is above, so sums stay within one longest document of the gap, and every selection can be reached like that.
+    Added parts go in one fixed order, given back ones in another; ``kept[sum]`` is how many of the latter were not passed yet, and of two ways to
+    a sum the one with more left is as good for whatever follows. Each improvement of ``kept`` is a step that names the one before it, so the way back is exact.
+
+    Of a length at most longest + gap / length documents are changed, as more never help: in a best change with the fewest documents no added ones
+    weigh the same as some given back, and among any ``length`` documents some weigh a multiple of ``length``, at most ``longest`` times.
+
+    So the work is bounded by the longest document and the units of the source, never by its budget; it ends as soon as the gap is met.
+    """
+    unit = math.gcd(*counts)  # sums are multiples of it
+    if gap < unit or not unit:
+        return {}
+    counts, gap = {x // unit: c for x, c in counts.items()}, gap // unit
+    most = max(counts)
+    adds, backs = (_parts({x: min(c[i], most + gap // x) for x, c in counts.items()}, most) for i in (1, 0))
+    backs.reverse()
+    weight = np.array([w for w, _, _ in backs], dtype=np.int64)
+    later = np.full(len(backs), len(backs))  # the next part of the same weight: it is given back before this one
+    order = np.argsort(weight, kind="stable")
+    same = weight[order][1:] == weight[order][:-1]
+    later[order[:-1][same]] = order[1:][same]
+    low = min(0, gap - most + 1)
+    top = gap - low  # where the gap is in the arrays; they go one longest document beyond it
+    kept, step, seen = (np.full(top + most + 1, x, dtype=np.int64) for x in (-1, 0, 0))
+    kept[-low] = len(backs)
+    before, part = array("q", [0]), array("q", [0])  # of each step: the one before; i for the i-th added part, -i for the i-th given back, from 1
+
+    def note(at: np.ndarray, value: np.ndarray, steps: np.ndarray, parts: np.ndarray) -> None:
+        kept[at], step[at] = value, np.arange(len(before), len(before) + len(at))
+        before.frombytes(np.ascontiguousarray(steps, dtype=np.int64).tobytes())
+        part.frombytes(np.ascontiguousarray(parts, dtype=np.int64).tobytes())
+
+    idle: dict[int, int] = {}
+    for i, (w, _, _) in enumerate(adds, 1):
+        if kept[top] >= 0:
+            break
+        if idle.get(w) == len(before):  # an equal part changed nothing, and nothing has changed since
+            continue
+        better = np.flatnonzero(kept[: top + 1] > kept[w : w + top + 1])
+        idle[w] = len(before)
+        note(better + w, kept[better], step[better], np.full(len(better), i))
+        above = (-(better + w)[better + w > top]).tolist()
+        heapq.heapify(above)
+        while above and kept[top] < 0:
+            s = -heapq.heappop(above)
+            a, b = int(seen[s]), int(kept[s])
+            if a >= b:
+                continue
+            seen[s] = b
+            j = a + np.flatnonzero(later[a:b] >= b)
+            at = s - weight[j]
+            good = kept[at] < j
+            at, j = at[good], j[good]
+            note(at, j, np.full(len(j), step[s]), -j - 1)
+            for x in (-at[at > top]).tolist():
+                heapq.heappush(above, x)
+    change: dict[int, int] = {}
+    at = int(step[np.flatnonzero(kept[: top + 1] >= 0)[-1]])
+    while at:
+        i = part[at]
+        _, length, k = adds[i - 1] if i > 0 else backs[-i - 1]
+        change[length * unit] = change.get(length * unit, 0) + (k if i > 0 else -k)
+        at = before[at]
+    return {x: k for x, k in change.items() if k}
+
+
 def taken_up_to(rank: Column, budget: Column, size: Column, rows: Column) -> Column:
     """How many of the first ``rank`` documents are taken: min(ceil(rank x budget / size), floor(rows x budget / size)), exact for sizes below 10^18."""
     wide = lambda c: c.cast("decimal(19,0)") * budget.cast("decimal(18,0)")
@@ -99,7 +187,7 @@ def mix(sizes: DataFrame, targets: DataFrame, row_id: str, source: str = "source
     # of the documents of a length that are not taken by rank, the first _k are extra; if _k < 0, the first -_k that are taken are given back
     before = (F.col("_rank") - F.col("_a") + 1) - (F.col("_upto") - upto(F.col("_a") - 1))
     rows = ranked.join(F.broadcast(plan), "source").withColumn("_upto", upto(F.col("_rank"))).withColumn("_hit", F.col("_upto") > upto(F.col("_rank") - 1))
-    rows = rows.join(F.broadcast(extras), ["source", "n_tokens"], "left")  # under 1,000 rows per source of the targets
+    rows = rows.join(F.broadcast(extras), ["source", "n_tokens"], "left")  # lengths the knapsack changes: no more than the longest document has units
     back = F.col("_hit") & (F.col("_upto") - upto(F.col("_a") - 1) <= -F.col("_k"))
     extra = ~F.col("_hit") & (before <= F.col("_k"))
     chosen = F.when(F.col("_k").isNull(), F.col("_hit")).otherwise((F.col("_hit") & ~back) | extra)
@@ -107,6 +195,13 @@ def mix(sizes: DataFrame, targets: DataFrame, row_id: str, source: str = "source
     return selection, shares
 
 
+def _by_source(counted: DataFrame) -> dict[str, list]:
+    out: dict[str, list] = {}
+    for r in counted.select("source", "n_tokens", "n", "_a", "_t").orderBy("source", "n_tokens").collect():
+        out.setdefault(r["source"], []).append(r)
+    return out
+
+
 def _planned(sizes: DataFrame, targets: DataFrame, row_id: str, source: str, size: str, seed: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Ranked documents; per source _b, _s, _rows, _passes; per length with more or fewer documents its first rank _a and the difference _k; the report."""
     spark = sizes.sparkSession
@@ -127,20 +222,16 @@ def _planned(sizes: DataFrame, targets: DataFrame, row_id: str, source: str, siz
     left = {s: rest - base[s]["units"] for s, (_, rest) in use.items()}
     half = F.floor(2 * F.log2("n_tokens"))
     step = counted.filter("_b > 0").withColumn("_h", half).withColumn("_i", F.row_number().over(Window.partitionBy("source", "_h").orderBy("n_tokens"))).filter(F.col("_i") <= STEPS)
-    lengths: dict[str, list] = {}
-    for r in step.orderBy("source", "n_tokens").collect():  # at most STEPS x 62 rows per source
-        lengths.setdefault(r["source"], []).append(r)
+    lengths = _by_source(step)  # at most STEPS x 62 rows per source
+    changes = {s: subset_sum({r["n_tokens"]: r["n"] - r["_t"] for r in lengths.get(s, [])}, gap) for s, gap in left.items()}
+    missed = [s for s, gap in left.items() if sum(x * k for x, k in changes[s].items()) < gap]
+    if missed:
+        for s, own in _by_source(counted.filter(F.col("source").isin(missed))).items():  # a row per length of a source
+            lengths[s], changes[s] = own, fit({r["n_tokens"]: (r["_t"], r["n"] - r["_t"]) for r in own}, left[s])
     extras, report = [], []
     for g in goal:
         s = g["_s"]
-        (passes, _), own, gap = use.get(s, (0, 0)), lengths.get(s, []), left.get(s, 0)
-        spare = {r["n_tokens"]: r["n"] - r["_t"] for r in own}
-        change = subset_sum(spare, gap)
-        if sum(x * k for x, k in change.items()) < gap:
-            back = {r["_h"]: r["n_tokens"] for r in reversed(own) if r["_t"] and r["n_tokens"] <= gap + BACK}
-            change = {x: -1 for x in back.values()}
-            for x, k in subset_sum({x: n + (x in change) for x, n in spare.items()}, gap + sum(back.values())).items():
-                change[x] = change.get(x, 0) + k
+        (passes, _), own, change = use.get(s, (0, 0)), lengths.get(s, []), changes.get(s, {})
         extras += [(s, r["n_tokens"], r["_a"], change[r["n_tokens"]]) for r in own if change.get(r["n_tokens"])]
         docs = sums[s]["n"] if passes else (base[s]["docs"] if s in base else 0) + sum(change.values())
         reached = passes * whole.get(s, 0) + (base[s]["units"] if s in base else 0) + sum(x * k for x, k in change.items())

@@ -18,6 +18,50 @@ def test_subset_sum_against_brute_force(counts, budget):
     assert got == max(s for s in sums if s <= budget)
 
 
+def best(lengths, budget):
+    """The largest sum of some of ``lengths`` that is at most ``budget``."""
+    reach = 1
+    for x in lengths:
+        reach |= reach << x
+    return (reach & ((1 << (budget + 1)) - 1)).bit_length() - 1
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.tuples(st.integers(0, 9), st.integers(0, 9)), max_size=6), st.integers(0, 80), st.sampled_from([1, 3]))
+def test_fit_against_brute_force(counts, gap, unit):
+    counts = {x * unit: c for x, c in counts.items()}
+    change = mixing.fit(counts, gap)
+    assert all(-counts[x][0] <= k <= counts[x][1] for x, k in change.items())
+    taken = sum(x * a for x, (a, _) in counts.items())
+    assert taken + sum(x * k for x, k in change.items()) == best([x for x, c in counts.items() for _ in range(sum(c))], taken + gap)
+
+
+#: Sources whose budget the shortest lengths of each half power of two can't meet, all lengths can; whose lengths allow no exact sum; with one document.
+HARD = {
+    "far": [1030 + 2 * i for i in range(40)] + [1201 + 2 * i for i in range(40)],
+    "one odd": [1024 + 2 * i for i in range(300)] + [1447],
+    "many": [1024 + 4 * i for i in range(90)] * 20 + [1389, 1390],
+    "even": [1024 + 2 * i for i in range(60)] * 3,
+    "thirds": [600 + 3 * i for i in range(80)] + [811],
+    "few": [5001, 5003, 5007, 5013],
+    "single": [4000],
+}
+
+
+@pytest.mark.parametrize("budget", [30_001, 21_350])
+def test_no_length_is_left_out_of_the_fit(spark, budget):
+    docs = [(s, n) for s, own in HARD.items() for n in own] + [("limit", budget)]
+    goal = spark.createDataFrame([(s, 1.0, 1 if s == "limit" else 90) for s in [*HARD, "limit"]], "source string, weight double, max_repeats int")  # equal weights; "limit" sets the budget of each
+    selection, shares = mixing.mix(spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id long, source string, n_tokens int"), goal, "doc_id")
+    chosen, got = selection.collect(), {r.source: r for r in shares.collect()}
+    for s, own in HARD.items():
+        passes, rest = divmod(budget, sum(own))
+        mine = [r for r in chosen if r.source == s]
+        assert got[s].target_tokens == budget and got[s].tokens == passes * sum(own) + best(own, rest)
+        assert sum(r.copies * r.n_tokens for r in mine) == got[s].tokens and len(mine) == got[s].documents
+        assert all(docs[r.doc_id] == (s, r.n_tokens) and passes <= r.copies <= passes + 1 for r in mine)
+
+
 @pytest.mark.parametrize("most, n", [(12, 3000), (20_000, 20_000)])
 def test_every_band_of_lengths_gives_its_share(spark, most, n):
     rng = random.Random(5)
